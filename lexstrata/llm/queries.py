@@ -20,8 +20,20 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(read_table(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, "byte_bpe_50k.tiktoken"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a sequence garbled by decoding with a wrong encoding."""
+    return p10_restored(spark, sf_dir).select("doc_id")
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents with the encoding chain and, where it can be recovered, the original text."""
+    from lexstrata.llm.mojibake import find_garbled
+
+    return find_garbled(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids}
+    return {"p8_ids": p8_ids, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
