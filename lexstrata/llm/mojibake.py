@@ -51,7 +51,7 @@ Bu kanunun yürürlük tarihi yayımı tarihidir; başvuru, değişiklik, çevre
 يسري هذا القانون من تاريخ نشره في الجريدة الرسمية. חוק זה ייכנס לתוקף ביום פרסומו. यह कानून प्रकाशन की तारीख से लागू होगा।
 Loven træder i kraft på dagen efter offentliggørelsen; ændringer, køn, åben, Ærø. Lög þessi öðlast gildi þegar í stað, æði, ýmis.
 ½ m² ¾ ¼ 10 % ± 5 ° × ÷ → ← ↑ ✓ ✗ ≥ ≤ ≠ € £ ¥ © ® ™ § ¶ • … « » “ ” ‘ ’ „ ‚ – — · ª º ¹ ² ³ † ‡ 🙂 📜 α β π Ω µ ∑ √ ∞ │ ─ ┌ █ ░
-SÃO JOÃO, CÂMARA, NAÇÃO, Â, À, É, Ê, Ô, L’ÂGE, BÂTIMENT, CHÂTEAU, OÙ, PÂQUES, AÇÃO, MÃE, IRMÃ, MANHÃ, ÂMBITO, ÂNGULO, GRÜN, ÄNDERUNG, STRASSE, CAFÉ, naïve, façade, maïs, œuvre, Noël"""
+SÃO JOÃO, CÂMARA, NAÇÃO, Â, À, É, Ê, Ô, L’ÂGE, naïf, naïve, naïve. naïve, naïveté, maïs, haïr, aïeul, coïncidence, héroïque, mosaïque, laïque, archaïque, BÂTIMENT, CHÂTEAU, OÙ, PÂQUES, AÇÃO, MÃE, IRMÃ, MANHÃ, ÂMBITO, ÂNGULO, GRÜN, ÄNDERUNG, STRASSE, CAFÉ, naïve, façade, maïs, œuvre, Noël"""
 
 #: Characters put around and between words when training records are made (fixed values).
 MARKS = "– — “ ” ‘ ’ « » … § € º ° · „ ‚ • ² ½ £ ©".split()

@@ -20,6 +20,20 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(read_table(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, "byte_bpe_50k.tiktoken"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 12 consecutive words of a test item."""
+    from lexstrata.llm.leaks import find_leaks
+
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+
+
+def p9_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with up to one word edit in a window of 16 words, and the edits found."""
+    from lexstrata.llm.leaks import find_leaks
+
+    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=16, max_edits=1)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a sequence garbled by decoding with a wrong encoding."""
     return p10_restored(spark, sf_dir).select("doc_id")
@@ -33,7 +47,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
