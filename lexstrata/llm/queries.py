@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexstrata.functions.runtime import read_table
 
@@ -13,6 +14,21 @@ from lexstrata.functions.runtime import read_table
 TOKENIZER_DIR = os.environ.get("LEXSTRATA_TOKENIZERS", "/opt/tokenizers")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of blocks of at least 40 words whose word sets have 0.75 of their union in common."""
+    from lexstrata.llm.neardup import all_pairs, similar_classes
+
+    pairs = all_pairs(*similar_classes(read_table(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40))
+    return pairs.select(F.col("a").alias("block_id_a"), F.col("b").alias("block_id_b"))
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each such block: its class of equal word sets and its number of links."""
+    from lexstrata.llm.neardup import link_counts, similar_classes
+
+    return link_counts(*similar_classes(read_table(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40)).withColumnRenamed("id", "block_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
@@ -47,7 +63,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p3_found": p3_found, "p3_links": p3_links, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
