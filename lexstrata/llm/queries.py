@@ -29,6 +29,21 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_counts(*similar_classes(read_table(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40)).withColumnRenamed("id", "block_id")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of blocks whose texts are not identical but look the same."""
+    from lexstrata.llm.lookalike import same_look_pairs
+
+    pairs = same_look_pairs(read_table(spark, sf_dir, "ocr_blocks"))
+    return pairs.select(F.col("a").alias("block_id_a"), F.col("b").alias("block_id_b"))
+
+
+def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivered block with its text in one form."""
+    from lexstrata.llm.lookalike import canonical
+
+    return canonical(read_table(spark, sf_dir, "ocr_blocks").select("block_id", "ingested_at", "testo")).select("block_id", "ingested_at", "canonical")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
@@ -63,7 +78,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_links": p3_links, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
