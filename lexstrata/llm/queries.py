@@ -44,6 +44,24 @@ def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical(read_table(spark, sf_dir, "ocr_blocks").select("block_id", "ingested_at", "testo")).select("block_id", "ingested_at", "canonical")
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from lexstrata.llm.langid import languages
+
+    return languages(*(read_table(spark, sf_dir, t) for t in ("ocr_blocks", "language_config", "documents")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a missing or wrong label (block_id 0) and blocks with a sentence in another language."""
+    files, blocks = _languages(spark, sf_dir)
+    wrong = files.where("wrong").select("file", F.lit(0).cast("bigint").alias("block_id"), "lang")
+    return wrong.unionByName(blocks.select("file", "block_id", "lang"))
+
+
+def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each file, with its share of the words, beside the label."""
+    return _languages(spark, sf_dir)[0]
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
@@ -78,7 +96,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
