@@ -155,9 +155,12 @@ def verified(pairs: DataFrame, threshold: float) -> DataFrame:
                 if not x:
                     continue
                 nx, ny = np.array([len(s) for s in x], dtype=float), np.array([len(s) for s in y], dtype=float)
-                likely = estimate(own.sketch(x), own.sketch(y), nx, ny)
+                p, q = own.sketch(x), own.sketch(y)
+                # equal registers are binomial around the similarity or above: far fewer rule it out without the estimate
+                near = np.flatnonzero((p == q).mean(axis=1) >= threshold - 1.5 * slack)
+                likely = estimate(p[near], q[near], nx[near], ny[near])
                 rows, found = [], []
-                for i in np.flatnonzero(likely >= threshold - slack).tolist():
+                for i in near[likely >= threshold - slack].tolist():
                     common = len(np.intersect1d(x[i], y[i], assume_unique=True))
                     similarity = common / (len(x[i]) + len(y[i]) - common)
                     if similarity >= threshold:
