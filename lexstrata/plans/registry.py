@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexstrata.functions.runtime import read_table
+from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_nodes
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +15,23 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "ocr_blocks").groupBy("file").count()
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes and content items of every complete tree, with their paths."""
+    return flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")).select("record_id", "kind", "path", "parent_path")
+
+
+def p7_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of nodes."""
+    return tree_nodes(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+
+
+def p7_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table of content items."""
+    return tree_contents(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p7_found": p7_found, "p7_nodes": p7_nodes, "p7_contents": p7_contents}
 
 
 def oracle_sql() -> dict[str, str]:
