@@ -7,6 +7,7 @@ its contents and its pending children, each with the parent's path as surrogate
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,11 @@ class TreeShape:
     contents: str = "contenuto"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, so that nested uses don't multiply in the plan."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _skeleton(text: Column) -> Column:
     """The JSON text without its strings."""
     return F.regexp_replace(F.regexp_replace(text, r"\\.", ""), r'"[^"]*"', "")
@@ -34,23 +40,31 @@ def _complete(text: Column) -> Column:
 
     The parser itself stops after the first value, so it wouldn't notice.
     """
-    bare = _skeleton(text)
-    closed = F.regexp_count(bare, F.lit(r"[{\[]")) == F.regexp_count(bare, F.lit(r"[}\]]"))
-    return text.rlike(r"^\s*[\[{\"]") & closed & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
+
+    def closed(bare: Column) -> Column:
+        return (F.regexp_count(bare, F.lit(r"[{\[]")) == F.regexp_count(bare, F.lit(r"[}\]]"))) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
+
+    return text.rlike(r"^\s*[\[{\"]") & _let(_skeleton(text), closed)
 
 
 def _parsed(text: Column) -> Column:
     """The JSON value of ``text``, decoded again where it is a string of JSON; null if it isn't complete JSON."""
-    value = F.when(_complete(text), F.try_parse_json(text))
-    inner = F.try_variant_get(value, "$", "string")
-    return F.when(F.schema_of_variant(value) == "STRING", F.when(_complete(inner), F.try_parse_json(inner))).otherwise(value)
+
+    def decoded(value: Column) -> Column:
+        again = _let(F.try_variant_get(value, "$", "string"), lambda s: F.when(_complete(s), F.try_parse_json(s)))
+        return F.when(F.schema_of_variant(value) == "STRING", again).otherwise(value)
+
+    return _let(F.when(_complete(text), F.try_parse_json(text)), decoded)
 
 
 def _entries(value: Column) -> Column:
     """A list's entries; any other value as the only entry; nothing for null."""
-    missing = value.isNull() | F.is_variant_null(value)
-    listed = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(missing, F.array().cast("array<variant>")).otherwise(F.coalesce(listed, F.array(value)))
+
+    def listed(v: Column) -> Column:
+        missing = v.isNull() | F.is_variant_null(v)
+        return F.when(missing, F.array().cast("array<variant>")).otherwise(F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
+
+    return _let(value, listed)
 
 
 def _is_object(value: Column) -> Column:
