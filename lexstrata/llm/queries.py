@@ -14,6 +14,43 @@ from lexstrata.functions.runtime import read_table
 TOKENIZER_DIR = os.environ.get("LEXSTRATA_TOKENIZERS", "/opt/tokenizers")
 
 
+def _packable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of both tables: source, grp (record or file), id and testo."""
+    from lexstrata.operators.flatten import flatten_trees, tree_contents
+
+    contents = tree_contents(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+    trees = contents.select(F.lit("tree").alias("source"), F.col("record_id").cast("string").alias("grp"), F.col("path").alias("id"), "testo")
+    blocks = read_table(spark, sf_dir, "ocr_blocks").select(F.lit("blocks").alias("source"), F.col("file").alias("grp"), F.col("block_id").cast("string").alias("id"), "testo")
+    return trees.unionByName(blocks)
+
+
+def p1_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of at most 220 words from the contents of each tree record and the blocks of each file."""
+    from lexstrata.llm.packing import pack
+
+    return pack(_packable(spark, sf_dir), ["source", "grp"], "id", "testo")
+
+
+def p1_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk of every item and piece."""
+    from lexstrata.llm.packing import assign_chunks, fitting_items
+
+    items = fitting_items(_packable(spark, sf_dir), ["source", "grp"], "id", "testo", 220)
+    return assign_chunks(items.select("source", "grp", "id", "piece", "words"), ["source", "grp"], ["id", "piece"])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of more than 220 words: those that the splitting cuts."""
+    return p2_pieces(spark, sf_dir).where("piece = 0").select("item_id")
+
+
+def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of those items, at most 220 words each."""
+    from lexstrata.llm.splitting import split_long
+
+    return split_long(read_table(spark, sf_dir, "struttura_rag_graph"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of blocks of at least 40 words whose word sets have 0.75 of their union in common."""
     from lexstrata.llm.neardup import all_pairs, similar_classes
@@ -96,8 +133,9 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    white = "[^\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+    return {"p2_found": f"SELECT DISTINCT item_id FROM struttura_rag_graph WHERE len(regexp_extract_all(testo, '{white}')) > 220"}
