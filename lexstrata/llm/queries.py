@@ -99,6 +99,13 @@ def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _languages(spark, sf_dir)[0]
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks that are page furniture, hold divided or misread words, or go on from the page before."""
+    from lexstrata.llm.ocr import kinds, scanned
+
+    return kinds(scanned(read_table(spark, sf_dir, "ocr_blocks"))[0])
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
@@ -133,7 +140,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
