@@ -1,6 +1,6 @@
 """Nested trees of JSON as related flat tables (problem 7).
 
-A record is parsed once, into a VARIANT. A first aggregate infers the merged schema of all records and how deep objects are
+A record is parsed once, into a VARIANT. Aggregates over the records infer the merged schema and how deep objects are
 nested; the flattening is then one chain of explodes without a shuffle, one for each level: a pending node becomes itself,
 its contents and its pending children, each with the parent's path as surrogate key and its ordinal in the parent.
 """
@@ -47,14 +47,15 @@ def _complete(text: Column) -> Column:
     return text.rlike(r"^\s*[\[{\"]") & _let(_skeleton(text), closed)
 
 
-def _parsed(text: Column) -> Column:
-    """The JSON value of ``text``, decoded again where it is a string of JSON; null if it isn't complete JSON."""
+def _decoded(text: Column) -> Column:
+    """``text``, or what it holds where it is a JSON string."""
+    return F.when(text.rlike(r'^\s*"'), F.try_variant_get(F.try_parse_json(text), "$", "string")).otherwise(text)
 
-    def decoded(value: Column) -> Column:
-        again = _let(F.try_variant_get(value, "$", "string"), lambda s: F.when(_complete(s), F.try_parse_json(s)))
-        return F.when(F.schema_of_variant(value) == "STRING", again).otherwise(value)
 
-    return _let(F.when(_complete(text), F.try_parse_json(text)), decoded)
+def _parsed(text: Column) -> Column:
+    """The JSON value of ``text``, decoded again where it is a string of JSON; null if it isn't complete JSON."""
+    inner = F.when(~text.rlike(r'^\s*"') | _complete(text), _decoded(text))
+    return _let(inner, lambda s: F.when(_complete(s), F.try_parse_json(s)))
 
 
 def _entries(value: Column) -> Column:
@@ -68,26 +69,30 @@ def _entries(value: Column) -> Column:
 
 
 def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+    """By a shallow cast; the type name of a value would be made from its whole subtree."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def _there(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def tree_schema(df: DataFrame, text_col: str = "albero") -> tuple[str | None, int]:
-    """(merged schema of all complete records, deepest nesting of objects) from one aggregate over ``df``."""
-    braces = F.split(F.regexp_replace(_skeleton(F.to_json(F.col("v"))), r"[^{}]", ""), "")
+def tree_schema(df: DataFrame, text_col: str = "albero") -> str | None:
+    """Merged schema of all roots of complete records, from one aggregate over ``df``; members of mixed type are VARIANT."""
+    roots = df.select(F.explode(_entries(_parsed(F.col(text_col)))).alias("v")).where(_there(F.col("v")))
+    return roots.agg(F.schema_of_variant_agg("v").alias("schema")).first()["schema"]
+
+
+def tree_depth(df: DataFrame, text_col: str = "albero") -> int:
+    """Deepest nesting of objects in ``df``, from the brackets of the texts alone; no tree is deeper."""
+    braces = F.split(F.regexp_replace(_skeleton(_decoded(F.col(text_col))), r"[^{}]", ""), "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 
     def step(acc: Column, c: Column) -> Column:
         now = acc["now"] + F.when(c == "{", 1).when(c == "}", -1).otherwise(0)
         return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
 
-    depth = F.aggregate(braces, start, step)["most"]
-    roots = df.select(F.explode(_entries(_parsed(F.col(text_col)))).alias("v")).where(_there(F.col("v")))
-    row = roots.agg(F.schema_of_variant_agg("v").alias("schema"), F.max(depth).alias("depth")).first()
-    return row["schema"], row["depth"] or 0
+    return df.agg(F.max(F.aggregate(braces, start, step)["most"]).alias("depth")).first()["depth"] or 0
 
 
 def flatten_trees(df: DataFrame, id_col: str = "record_id", text_col: str = "albero", shape: TreeShape = TreeShape(), depth: int | None = None) -> DataFrame:
@@ -101,7 +106,7 @@ def flatten_trees(df: DataFrame, id_col: str = "record_id", text_col: str = "alb
     records give no row; repeated records give their rows each; other columns are ignored; an empty table gives no row.
     """
     if depth is None:
-        depth = tree_schema(df, text_col)[1]
+        depth = tree_depth(df, text_col)
     roots = _entries(F.col("v"))
     first = F.transform(roots, lambda e, i: F.struct(e.alias("value"), i.alias("ordinal")))
     pending = (

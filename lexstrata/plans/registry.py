@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexstrata.functions.runtime import read_table
-from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_nodes
+from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_depth, tree_nodes, tree_schema
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +30,14 @@ def p7_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_contents(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
 
 
+def p7_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merged schema of all trees and their deepest nesting."""
+    trees = read_table(spark, sf_dir, "struttura_ad_albero")
+    return spark.createDataFrame([(tree_schema(trees), tree_depth(trees))], "merged string, depth int")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_found": p7_found, "p7_nodes": p7_nodes, "p7_contents": p7_contents}
+    return {"p7_found": p7_found, "p7_nodes": p7_nodes, "p7_contents": p7_contents, "p7_schema": p7_schema}
 
 
 def oracle_sql() -> dict[str, str]:
