@@ -78,6 +78,9 @@ class Transducer:
         # a cluster: any character with the marks and invisible characters that follow it, or one beyond ASCII
         self.clusters = re.compile(f"[\\x00-\\x7f](?=[{trail}])[{trail}]+|[^\\x00-\\x7f][{trail}]*")
         self.memo: dict[str, str] = {}
+        # texts without any of these are in the one form already
+        folds = [c for c in map(chr, range(0x80, 0x10000)) if not 0xD800 <= ord(c) < 0xE000 and (unicodedata.normalize("NFC", c) != c or unicodedata.normalize("NFD", c)[0] in self.rules)]
+        self.touched = frozenset([*self.rules, *marks, *folds])
 
     def cluster(self, text: str) -> str:
         """The form of one cluster: single rules, then composition of its accents."""
@@ -91,7 +94,7 @@ class Transducer:
         return mapped
 
     def apply(self, text: str) -> str:
-        if text.isascii():
+        if text.isascii() or self.touched.isdisjoint(text):
             return text
         memo = self.memo
 
