@@ -5,6 +5,8 @@ Patterns are written for both regular expression engines: explicit classes for w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ WORD = r"[\p{L}\p{N}\p{M}\p{Pc}]+"
 QUOTES = "\"«»“”„‟"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, so that nested uses don't multiply in the plan."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def lit_sql(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"

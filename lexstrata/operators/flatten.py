@@ -7,12 +7,13 @@ its contents and its pending children, each with the parent's path as surrogate
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexstrata.functions.text import bind
+
 NODE_FIELDS = ("name", "intestazione", "etichetta", "numero", "rubrica")
 CONTENT_FIELDS = ("etichetta", "testo", "confidenza")
 
@@ -25,11 +26,6 @@ class TreeShape:
     contents: str = "contenuto"
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, so that nested uses don't multiply in the plan."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _skeleton(text: Column) -> Column:
     """The JSON text without its strings."""
     return F.regexp_replace(F.regexp_replace(text, r"\\.", ""), r'"[^"]*"', "")
@@ -44,7 +40,7 @@ def _complete(text: Column) -> Column:
     def closed(bare: Column) -> Column:
         return (F.regexp_count(bare, F.lit(r"[{\[]")) == F.regexp_count(bare, F.lit(r"[}\]]"))) & ~bare.rlike(r"[}\]]\s*[^\s,}\]]")
 
-    return text.rlike(r"^\s*[\[{\"]") & _let(_skeleton(text), closed)
+    return text.rlike(r"^\s*[\[{\"]") & bind(_skeleton(text), closed)
 
 
 def _decoded(text: Column) -> Column:
@@ -55,7 +51,7 @@ def _decoded(text: Column) -> Column:
 def _parsed(text: Column) -> Column:
     """The JSON value of ``text``, decoded again where it is a string of JSON; null if it isn't complete JSON."""
     inner = F.when(~text.rlike(r'^\s*"') | _complete(text), _decoded(text))
-    return _let(inner, lambda s: F.when(_complete(s), F.try_parse_json(s)))
+    return bind(inner, lambda s: F.when(_complete(s), F.try_parse_json(s)))
 
 
 def _entries(value: Column) -> Column:
@@ -65,7 +61,7 @@ def _entries(value: Column) -> Column:
         missing = v.isNull() | F.is_variant_null(v)
         return F.when(missing, F.array().cast("array<variant>")).otherwise(F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
 
-    return _let(value, listed)
+    return bind(value, listed)
 
 
 def _is_object(value: Column) -> Column:

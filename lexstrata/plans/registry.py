@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexstrata.functions.runtime import read_table
 from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_depth, tree_nodes, tree_schema
+from lexstrata.plans import structure
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Blocks of each file."""
-    return read_table(spark, sf_dir, "ocr_blocks").groupBy("file").count()
+    """Words of the contents under each heading: load, label, order, own, count."""
+    return structure.words_per_heading(spark, sf_dir)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +38,8 @@ def p7_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_found": p7_found, "p7_nodes": p7_nodes, "p7_contents": p7_contents, "p7_schema": p7_schema}
+    return structure.QUERIES | {"p7_found": p7_found, "p7_nodes": p7_nodes, "p7_contents": p7_contents, "p7_schema": p7_schema}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(structure.ORACLE)
