@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexstrata.functions.runtime import read_table
 from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_depth, tree_nodes, tree_schema
-from lexstrata.plans import structure
+from lexstrata.plans import records, structure  # noqa: F401 - records adds its queries to those of structure
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
