@@ -18,15 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lexstrata.llm.splitting import split_long
+from lexstrata.llm.splitting import pieces, word_number
 
 #: Share of the capacity from which an item belongs to a tier, from the longest tier to the shortest (fixed values).
 TIERS = (0.5, 0.25, 0.0)
 #: Parts in which ranks are counted.
 SALTS = 16
-#: Words: runs of letters and digits.
-WORDS = r"[\p{L}\p{N}]+"
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -109,14 +108,30 @@ def assign_chunks(items: DataFrame, keys: list[str], id_cols: list[str], capacit
 def fitting_items(df: DataFrame, keys: list[str], id_col: str, text_col: str, capacity: int) -> DataFrame:
     """(keys, id, piece, words, text) of the items of at most ``capacity`` words and of the pieces of longer ones.
 
-    Items without words have nothing to pack and are left out.
+    One pass over the rows counts and cuts. Items without words have nothing to pack and are left out.
     """
-    counted = df.select(*keys, F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("words", F.regexp_count("text", F.lit(WORDS)).cast("int"))
-    short = counted.where(f"words between 1 and {capacity}").select(*keys, "id", F.lit(0).alias("piece"), "words", "text")
-    long = counted.where(f"words > {capacity}").withColumn("_key", F.struct(*keys, "id"))
-    cut = split_long(long, limit=capacity, default_overlap=0, keep_short=True, id_col="_key", text_col="text", overlap_col=None, word="alnum")
-    recounted = cut.select(*(F.col(f"_key.{k}").alias(k) for k in keys), F.col("_key.id").alias("id"), "piece", F.regexp_count("testo", F.lit(WORDS)).cast("int").alias("words"), F.col("testo").alias("text"))
-    return short.unionByName(recounted)
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("id", df.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("words", T.IntegerType()), T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[int] = []
+            out: list[tuple[int, int, str]] = []
+            for i, text in enumerate(batch.column(len(keys) + 1).to_pylist()):
+                if not text:
+                    continue
+                n = word_number(text)
+                if 0 < n <= capacity:
+                    rows.append(i)
+                    out.append((0, n, text))
+                elif n:
+                    for k, (a, b, c, d) in enumerate(pieces(text, capacity, 0, "alnum")):
+                        rows.append(i)
+                        out.append((k, b - a, text[c:d].strip()))
+            columns = list(zip(*out)) if out else [()] * 3
+            take = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in range(len(keys) + 1)), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string())], names=schema.names)
+
+    return df.select(*keys, id_col, text_col).mapInArrow(run, schema)
 
 
 def pack(df: DataFrame, keys: list[str], id_col: str, text_col: str, capacity: int = 220, step_chunks: int = 32) -> DataFrame:
