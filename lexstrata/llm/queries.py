@@ -106,6 +106,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kinds(scanned(read_table(spark, sf_dir, "ocr_blocks"))[0])
 
 
+def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The continuous, repaired paragraphs of each file."""
+    from lexstrata.llm.ocr import paragraphs
+
+    return paragraphs(read_table(spark, sf_dir, "ocr_blocks"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
@@ -140,7 +147,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p6_found": p6_found, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
