@@ -16,6 +16,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``read_table`` for work that is heavy on CPU: a table with fewer splits than cores is dealt to all of them.
+
+    Larger tables have more splits than cores and are read as they are, without a shuffle.
+    """
+    df = read_table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share.
 
