@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexstrata.functions.runtime import read_table
+from lexstrata.functions.runtime import read_spread, read_table
 
 #: Where the public vocabularies are; a parameter of the deployment, never copied into the repository.
 TOKENIZER_DIR = os.environ.get("LEXSTRATA_TOKENIZERS", "/opt/tokenizers")
@@ -55,7 +55,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of blocks of at least 40 words whose word sets have 0.75 of their union in common."""
     from lexstrata.llm.neardup import all_pairs, similar_classes
 
-    pairs = all_pairs(*similar_classes(read_table(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40))
+    pairs = all_pairs(*similar_classes(read_spread(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40))
     return pairs.select(F.col("a").alias("block_id_a"), F.col("b").alias("block_id_b"))
 
 
@@ -63,14 +63,14 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each such block: its class of equal word sets and its number of links."""
     from lexstrata.llm.neardup import link_counts, similar_classes
 
-    return link_counts(*similar_classes(read_table(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40)).withColumnRenamed("id", "block_id")
+    return link_counts(*similar_classes(read_spread(spark, sf_dir, "ocr_blocks"), threshold=0.75, min_words=40)).withColumnRenamed("id", "block_id")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of blocks whose texts are not identical but look the same."""
     from lexstrata.llm.lookalike import same_look_pairs
 
-    pairs = same_look_pairs(read_table(spark, sf_dir, "ocr_blocks"))
+    pairs = same_look_pairs(read_spread(spark, sf_dir, "ocr_blocks"))
     return pairs.select(F.col("a").alias("block_id_a"), F.col("b").alias("block_id_b"))
 
 
@@ -78,13 +78,13 @@ def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delivered block with its text in one form."""
     from lexstrata.llm.lookalike import canonical
 
-    return canonical(read_table(spark, sf_dir, "ocr_blocks").select("block_id", "ingested_at", "testo")).select("block_id", "ingested_at", "canonical")
+    return canonical(read_spread(spark, sf_dir, "ocr_blocks").select("block_id", "ingested_at", "testo")).select("block_id", "ingested_at", "canonical")
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     from lexstrata.llm.langid import languages
 
-    return languages(*(read_table(spark, sf_dir, t) for t in ("ocr_blocks", "language_config", "documents")))
+    return languages(read_spread(spark, sf_dir, "ocr_blocks"), read_table(spark, sf_dir, "language_config"), read_table(spark, sf_dir, "documents"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,35 +103,35 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks that are page furniture, hold divided or misread words, or go on from the page before."""
     from lexstrata.llm.ocr import kinds, scanned
 
-    return kinds(scanned(read_table(spark, sf_dir, "ocr_blocks"))[0])
+    return kinds(scanned(read_spread(spark, sf_dir, "ocr_blocks"))[0])
 
 
 def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The continuous, repaired paragraphs of each file."""
     from lexstrata.llm.ocr import paragraphs
 
-    return paragraphs(read_table(spark, sf_dir, "ocr_blocks"))
+    return paragraphs(read_spread(spark, sf_dir, "ocr_blocks"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     from lexstrata.llm.encode import encode_corpus
 
-    return encode_corpus(read_table(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, "byte_bpe_50k.tiktoken"))
+    return encode_corpus(read_spread(spark, sf_dir, "documents"), os.path.join(TOKENIZER_DIR, "byte_bpe_50k.tiktoken"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold at least 12 consecutive words of a test item."""
     from lexstrata.llm.leaks import find_leaks
 
-    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+    return find_leaks(read_spread(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
 
 
 def p9_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with up to one word edit in a window of 16 words, and the edits found."""
     from lexstrata.llm.leaks import find_leaks
 
-    return find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=16, max_edits=1)
+    return find_leaks(read_spread(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=16, max_edits=1)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +143,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents with the encoding chain and, where it can be recovered, the original text."""
     from lexstrata.llm.mojibake import find_garbled
 
-    return find_garbled(read_table(spark, sf_dir, "documents"))
+    return find_garbled(read_spread(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
