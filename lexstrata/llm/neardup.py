@@ -28,6 +28,8 @@ BASE, RATE, LEVELS = 1.001, 20.0, 65_534
 #: Registers in a band and bands: sets with similarity 0.8 share a band with probability 0.999.
 BAND, BANDS = 8, 40
 REGISTERS = BAND * BANDS
+#: Registers that travel with a class, to estimate the similarity of candidates.
+CARRIED = 64
 #: Words whose levels a worker keeps between batches; bounds memory only.
 MEMO_WORDS = 30_000
 
@@ -97,7 +99,7 @@ def band_keys(registers: np.ndarray) -> np.ndarray:
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
     """Most likely similarity of each pair of sketches, given the sizes of the sets."""
     more, less = (a > b).sum(axis=1)[:, None], (a < b).sum(axis=1)[:, None]
-    same = REGISTERS - more - less
+    same = a.shape[1] - more - less
     u = (na / (na + nb))[:, None]
     v = 1.0 - u
     grid = np.linspace(0.0, 1.0, 101)[None, :]
@@ -130,46 +132,46 @@ def sketched(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
                         sets.append(np.unique(np.fromiter(map(own.hash_of, set(found)), dtype=np.uint32)))
                 if not rows:
                     continue
-                bands = band_keys(own.sketch(sets))
+                registers = own.sketch(sets)
+                bands = band_keys(registers)
                 packed = [s.tobytes() for s in sets]
                 classes = [int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "little", signed=True) for p in packed]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(rows, pa.int32())), pa.array(classes, pa.int64()), pa.array([b.tobytes() for b in bands], pa.binary()), pa.array(packed, pa.binary())],
-                    names=["id", "cls", "bands", "words"],
+                    [part.column(0).take(pa.array(rows, pa.int32())), pa.array(classes, pa.int64()), pa.array([b.tobytes() for b in bands], pa.binary()), pa.array([r.tobytes() for r in np.ascontiguousarray(registers[:, :CARRIED])], pa.binary()), pa.array(packed, pa.binary())],
+                    names=["id", "cls", "bands", "registers", "words"],
                 )
 
-    return df.select(id_col, text_col).where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, cls bigint, bands binary, words binary")
+    return df.select(id_col, text_col).where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, cls bigint, bands binary, registers binary, words binary")
 
 
 def verified(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Candidates (a, b, words_a, words_b) that pass the estimate and the exact comparison, with their similarity."""
+    """Candidates (a, b, words and registers of both) that pass the estimate and the exact comparison, with their similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Sketcher()
-        slack = 4.0 * np.sqrt(threshold * (1.0 - threshold) / REGISTERS)
+        slack = 4.0 * np.sqrt(threshold * (1.0 - threshold) / CARRIED)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                x = [np.frombuffer(w, dtype=np.uint32) for w in part.column(2).to_pylist()]
-                y = [np.frombuffer(w, dtype=np.uint32) for w in part.column(3).to_pylist()]
-                if not x:
-                    continue
-                nx, ny = np.array([len(s) for s in x], dtype=float), np.array([len(s) for s in y], dtype=float)
-                p, q = own.sketch(x), own.sketch(y)
-                # equal registers are binomial around the similarity or above: far fewer rule it out without the estimate
-                near = np.flatnonzero((p == q).mean(axis=1) >= threshold - 1.5 * slack)
-                likely = estimate(p[near], q[near], nx[near], ny[near])
-                rows, found = [], []
-                for i in near[likely >= threshold - slack].tolist():
-                    common = len(np.intersect1d(x[i], y[i], assume_unique=True))
-                    similarity = common / (len(x[i]) + len(y[i]) - common)
+            if not batch.num_rows:
+                continue
+            x, y, p, q = (batch.column(i).to_pylist() for i in range(2, 6))
+            p, q = (np.frombuffer(b"".join(r), dtype=np.uint16).reshape(-1, CARRIED) for r in (p, q))
+            nx, ny = np.array([len(s) // 4 for s in x], dtype=float), np.array([len(s) // 4 for s in y], dtype=float)
+            # equal registers are binomial around the similarity or above: far fewer rule it out without the estimate
+            near = np.flatnonzero((p == q).mean(axis=1) >= threshold - 1.25 * slack)
+            rows, found = [], []
+            for at in range(0, len(near), 2000):
+                part = near[at : at + 2000]
+                likely = estimate(p[part], q[part], nx[part], ny[part])
+                for i in part[likely >= threshold - slack].tolist():
+                    a, b = np.frombuffer(x[i], dtype=np.uint32), np.frombuffer(y[i], dtype=np.uint32)
+                    common = len(np.intersect1d(a, b, assume_unique=True))
+                    similarity = common / (len(a) + len(b) - common)
                     if similarity >= threshold:
                         rows.append(i)
                         found.append(similarity)
-                take = pa.array(rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+            take = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
 
-    return pairs.select("a", "b", "words_a", "words_b").mapInArrow(run, "a bigint, b bigint, similarity double")
+    return pairs.select("a", "b", "words_a", "words_b", "registers_a", "registers_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
 def similar_classes(df: DataFrame, threshold: float = 0.8, min_words: int = 1, id_col: str = "block_id", text_col: str = "testo") -> tuple[DataFrame, DataFrame]:
@@ -187,8 +189,10 @@ def similar_classes(df: DataFrame, threshold: float = 0.8, min_words: int = 1, i
     left, right = bands.select(F.col("cls").alias("a"), "key", "band"), bands.select(F.col("cls").alias("b"), "key", "band")
     candidates = written(left.join(right, ["key", "band"]).where("a < b").select("a", "b").distinct(), "candidates")
     wanted = candidates.select(F.col("a").alias("cls")).union(candidates.select(F.col("b").alias("cls"))).distinct()
-    words = base.select("cls", "words").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("words").alias("words"))
-    pairs = candidates.join(words.select(F.col("cls").alias("a"), F.col("words").alias("words_a")), "a").join(words.select(F.col("cls").alias("b"), F.col("words").alias("words_b")), "b")
+    held = base.select("cls", "words", "registers").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("words").alias("words"), F.first("registers").alias("registers"))
+    pairs = candidates
+    for side in ("a", "b"):
+        pairs = pairs.join(held.select(F.col("cls").alias(side), F.col("words").alias(f"words_{side}"), F.col("registers").alias(f"registers_{side}")), side)
     return members, written(verified(pairs, threshold), "links")
 
 
