@@ -105,12 +105,12 @@ def assign_chunks(items: DataFrame, keys: list[str], id_cols: list[str], capacit
     return placed.select(*keys, *id_cols, "words", chunk.alias("chunk"), run_of["total"].cast("int").alias("chunk_words"), "_chunks").withColumn("step", step).drop("_chunks")
 
 
-def fitting_items(df: DataFrame, keys: list[str], id_col: str, text_col: str, capacity: int) -> DataFrame:
-    """(keys, id, piece, words, text) of the items of at most ``capacity`` words and of the pieces of longer ones.
+def fitting_items(df: DataFrame, keys: list[str], id_col: str, text_col: str, capacity: int, texts: bool = True) -> DataFrame:
+    """(keys, id, piece, words and, with ``texts``, text) of the items of at most ``capacity`` words and of the pieces of longer ones.
 
     One pass over the rows counts and cuts. Items without words have nothing to pack and are left out.
     """
-    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("id", df.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("words", T.IntegerType()), T.StructField("text", T.StringType())])
+    schema = T.StructType([*(df.schema[k] for k in keys), T.StructField("id", df.schema[id_col].dataType), T.StructField("piece", T.IntegerType()), T.StructField("words", T.IntegerType()), *([T.StructField("text", T.StringType())] if texts else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,10 +126,10 @@ def fitting_items(df: DataFrame, keys: list[str], id_col: str, text_col: str, ca
                 elif n:
                     for k, (a, b, c, d) in enumerate(pieces(text, capacity, 0, "alnum")):
                         rows.append(i)
-                        out.append((k, b - a, text[c:d].strip()))
+                        out.append((k, b - a, text[c:d].strip() if texts else ""))
             columns = list(zip(*out)) if out else [()] * 3
             take = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in range(len(keys) + 1)), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(j).take(take) for j in range(len(keys) + 1)), pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), *([pa.array(columns[2], pa.string())] if texts else [])], names=schema.names)
 
     return df.select(*keys, id_col, text_col).mapInArrow(run, schema)
 
@@ -144,7 +144,7 @@ def pack(df: DataFrame, keys: list[str], id_col: str, text_col: str, capacity: i
     their own; other columns are ignored; an empty table gives no chunk.
     """
     items = fitting_items(df, keys, id_col, text_col, capacity)
-    placed = assign_chunks(items.select(*keys, "id", "piece", "words"), keys, ["id", "piece"], capacity, step_chunks)
+    placed = assign_chunks(fitting_items(df, keys, id_col, text_col, capacity, texts=False), keys, ["id", "piece"], capacity, step_chunks)
     same = [*keys, "id", "piece"]
     texts = items.select(*(F.col(k).alias(f"_{k}") for k in same), "text")
     joined = placed.join(texts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in same]).select(*same, "chunk", "step", "chunk_words", "text")

@@ -35,8 +35,8 @@ def p1_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunk of every item and piece."""
     from lexstrata.llm.packing import assign_chunks, fitting_items
 
-    items = fitting_items(_packable(spark, sf_dir), ["source", "grp"], "id", "testo", 220)
-    return assign_chunks(items.select("source", "grp", "id", "piece", "words"), ["source", "grp"], ["id", "piece"])
+    items = fitting_items(_packable(spark, sf_dir), ["source", "grp"], "id", "testo", 220, texts=False)
+    return assign_chunks(items, ["source", "grp"], ["id", "piece"])
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,15 +20,14 @@ from pyspark.sql import types as T
 #: Unicode white space (fixed values), and what is left between it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: What a word is: a run of characters that are not white space, or one of letters and digits.
-WORDS = {"white": regex.compile(f"[^{WHITE}]+"), "alnum": regex.compile(r"[\p{L}\p{N}]+")}
-ASCII_WORD = re.compile("[A-Za-z0-9]+")
+WORDS = {"white": regex.compile(f"[^{WHITE}]+"), "alnum": re.compile(r"[^\W_]+")}
 PARAGRAPH = re.compile(r"\n[ \t\r\xa0]*\n")
 SENTENCE, CLAUSE = re.compile(r"[.!?…][»”\"’)\]]*$"), re.compile(r"[,;:–—][»”\"’)\]]*$")
 
 
 def word_number(text: str) -> int:
-    """Number of runs of letters and digits; the faster engine agrees on ASCII."""
-    return len(ASCII_WORD.findall(text)) if text.isascii() else len(WORDS["alnum"].findall(text))
+    """Number of runs of letters and digits."""
+    return len(WORDS["alnum"].findall(text))
 
 
 def boundary_ranks(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
