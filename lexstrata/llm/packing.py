@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexstrata.functions.runtime import written
 from lexstrata.llm.splitting import pieces, word_number
 
 #: Share of the capacity from which an item belongs to a tier, from the longest tier to the shortest (fixed values).
@@ -71,6 +72,7 @@ def assign_chunks(items: DataFrame, keys: list[str], id_cols: list[str], capacit
     salted = items.withColumn("_salt", F.pmod(F.xxhash64(*id_cols), F.lit(SALTS)).cast("int"))
     part = Window.partitionBy(*keys, "words", "_salt").orderBy(*id_cols)
     ranked = salted.withColumn("_rank", F.dense_rank().over(part)).withColumn("_copy", F.row_number().over(Window.partitionBy(*keys, "words", "_salt", *id_cols).orderBy(F.lit(1)))).where("_copy = 1").drop("_copy")
+    ranked = written(ranked, "ranked")  # read three times, and small: keys and lengths only
     parts = ranked.groupBy(*keys, "words", "_salt").agg(F.max("_rank").alias("_n"))
     offsets = parts.withColumn("_offset", F.sum("_n").over(Window.partitionBy(*keys, "words").orderBy("_salt")) - F.col("_n"))
     histogram = parts.groupBy(*keys, "words").agg(F.sum("_n").alias("n")).groupBy(*keys).agg(F.collect_list(F.struct("words", "n")).alias("lengths"))
