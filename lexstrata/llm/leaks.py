@@ -2,7 +2,8 @@
 
 Method: the CGK random walk embeds a window of words into a longer string such that windows at a small edit distance get a
 small Hamming distance; positions sampled from the embedding are the keys of a locality-sensitive hash, repeated until the
-target recall is reached; candidates are verified by the exact edit distance. Windows have the size of the smallest
+target recall is reached; candidates are verified by the exact edit distance of the item's window to the closest run of words
+around the document's, so that added and removed words count as one edit each. Windows have the size of the smallest
 passage that counts as a leak, and every window of every document is looked up.
 
 The held-out items are the small side: they are shipped to the tasks in blocks of bounded size, so the corpus is read by
@@ -27,6 +28,8 @@ WORD = re.compile(r"[^\W_]+")
 STRETCH, SAMPLED = 3, 10
 #: Distinct word classes the random walk tells apart.
 CLASSES = 1 << 10
+#: Where a larger number of keys would be needed, the search is refused instead of finding less.
+MOST_KEYS = 5000
 
 
 def words(text: str | None) -> list[str]:
@@ -69,53 +72,50 @@ class WalkKeys:
 
 
 def repetitions_for(size: int, max_edits: int, recall: float, seed: int = 17) -> int:
-    """Keys needed so that windows within ``max_edits`` word edits share one with probability ``recall``; simulated.
+    """Keys needed so that a share ``recall`` of windows with ``max_edits`` words replaced, added or removed has one in common.
 
-    Equal windows share every key, so without edits one is enough.
+    Simulated for each kind of edit; the kind that needs most decides. Equal windows share every key, so without edits one
+    is enough.
     """
     if not max_edits:
         return 1
-    rng = np.random.default_rng(seed)
-    trial, hits, n = WalkKeys(size, 1, seed), 0, 400
-    for k in range(n):
-        trial = WalkKeys(size, 1, seed + k) if k % 20 == 0 else trial
-        a = rng.integers(1, 5000, size + max_edits)
-        b = list(a)
-        for _ in range(max_edits):
-            kind, p = rng.integers(0, 3), int(rng.integers(0, size))
-            if kind == 0:
-                b[p] = int(rng.integers(1, 5000))
-            elif kind == 1:
-                del b[p]
-            else:
-                b.insert(p, int(rng.integers(1, 5000)))
-        ids = np.concatenate([a[:size], np.array((b + [0] * size)[:size])])
-        key, _, _ = trial.keys(ids, np.array([0, size]), 0)
-        hits += int(key[0] == key[1])
-    p = max(hits / n, 0.02)
-    return math.ceil(math.log(1 - recall) / math.log(1 - min(p, 0.999)))
+    rng, n = np.random.default_rng(seed), 400
+    ids = []
+    for kind in range(3):
+        for _ in range(n):
+            a = rng.integers(1, 5000, size + max_edits).tolist()
+            b = list(a)
+            for _ in range(max_edits):
+                p = int(rng.integers(0, size))
+                b[p : p + (kind != 1)] = [int(rng.integers(1, 5000))] if kind < 2 else []
+            ids += [*a[:size], *b[:size]]
+    held, starts = np.array(ids), np.arange(6 * n) * size
+    missed = np.ones((3, n), dtype=bool)
+    for rep in range(1, MOST_KEYS + 1):
+        key = WalkKeys(size, 1, seed + rep).keys(held, starts, 0)[0].reshape(3, n, 2)
+        missed &= key[:, :, 0] != key[:, :, 1]
+        if missed.mean(axis=1).max() <= 1 - recall:
+            return rep
+    raise ValueError(f"{max_edits} edits in {size} words: recall {recall} is not reached with {MOST_KEYS} keys")
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Word edit distance, or ``most`` + 1 where it is larger."""
-    if np.array_equal(a, b):
-        return 0
-    if not most:
-        return 1
-    row = list(range(len(b) + 1))
+    """Least word edit distance of ``a`` to any run of consecutive words of ``b``, or ``most`` + 1 where it is larger."""
+    a, b = a.tolist(), b.tolist()
+    row = [0] * (len(b) + 1)  # the run may start anywhere
     for i, x in enumerate(a, 1):
         left, row[0] = row[0], i
         for j, y in enumerate(b, 1):
             left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
         if min(row) > most:
             return most + 1
-    return min(row[-1], most + 1)
+    return min(row)  # and end anywhere
 
 
 class ItemIndex:
     """Keys of all windows of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str | None]], size: int, max_edits: int, recall: float):
+    def __init__(self, items: list[tuple[int, str | None]], size: int, max_edits: int, repetitions: int):
         self.size, self.max_edits = size, max_edits
         self.vocabulary: dict[str, int] = {}
         ids: list[int] = []
@@ -127,7 +127,7 @@ class ItemIndex:
                 owners.append(item)
             ids += own
         self.ids, self.owners, self.starts = np.array(ids or [0], dtype=np.int64), owners, np.array(starts, dtype=np.int64)
-        self.hash = WalkKeys(size, repetitions_for(size, max_edits, recall))
+        self.hash = WalkKeys(size, repetitions)
         self.known: list[list[np.ndarray]] = []
         self.table: list[dict[int, list[int]]] = []
         for rep in range(len(self.hash.walk)):
@@ -143,13 +143,17 @@ class ItemIndex:
         if not self.owners:
             return []
         get = self.vocabulary.get
-        coded = [[get(w, 0) for w in words(t)] for t in texts]
+        # words may be missing from a passage at a document's end
+        padding = [0] * self.max_edits
+        coded = [[*(get(w, 0) for w in words(t)), *padding] for t in texts]
         lengths = np.array([len(c) for c in coded], dtype=np.int64)
         ids = np.fromiter((x for c in coded for x in c), dtype=np.int64, count=int(lengths.sum()))
         size = self.size
         if len(ids) < size:
             return []
         owner = np.repeat(np.arange(len(texts)), lengths)
+        ends = np.cumsum(lengths)
+        firsts, ends = ends - lengths, ends - self.max_edits
         unknown = np.concatenate([[0], np.cumsum(ids == 0)])
         starts = np.arange(len(ids) - size + 1)
         # a word that no item has needs an edit of its own
@@ -162,7 +166,14 @@ class ItemIndex:
                     pair = (int(owner[s]), self.owners[n])
                     if best.get(pair, self.max_edits + 1) == 0:
                         continue
-                    d = edit_distance(ids[s : s + size], self.ids[self.starts[n] : self.starts[n] + size], self.max_edits)
+                    own = self.ids[self.starts[n] : self.starts[n] + size]
+                    if np.array_equal(ids[s : s + size], own):
+                        best[pair] = 0
+                        continue
+                    if not self.max_edits:
+                        continue
+                    around = ids[max(firsts[owner[s]], s - self.max_edits) : min(ends[owner[s]], s + size + self.max_edits)]
+                    d = edit_distance(own, around, self.max_edits)
                     if d < best.get(pair, self.max_edits + 1):
                         best[pair] = d
         return [(row, item, d) for (row, item), d in best.items()]
@@ -178,7 +189,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = 12, max_edits: i
     items are reported each; an empty side gives an empty result.
     """
     schema = T.StructType([docs.schema[id_col], items.schema[item_col], T.StructField("edits", T.IntegerType())])
-    blocks = max(1, math.ceil(items.count() / block))
+    blocks, repetitions = max(1, math.ceil(items.count() / block)), repetitions_for(window, max_edits, recall)
     picked = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text"))
     result = None
     for b in range(blocks):
@@ -186,7 +197,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = 12, max_edits: i
         held = [(r.item, r.text) for r in part.collect()]
 
         def run(batches: Iterator[pa.RecordBatch], held: list = held) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(held, window, max_edits, recall)
+            index = ItemIndex(held, window, max_edits, repetitions)
             for batch in batches:
                 for at in range(0, batch.num_rows, rows):
                     piece = batch.slice(at, rows)

@@ -54,3 +54,31 @@ def test_edits_reach_recall(spark):
         docs.append((i, "prima " + " ".join(w) + " dopo"))
     got = {(r.doc_id, r.item_id) for r in find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), window=16, max_edits=1).collect()}
     assert len([1 for i, _ in items if (i, i) in got]) >= 90 and all(a == b for a, b in got)
+
+
+def test_added_and_removed_words_reach_recall(spark):
+    import random
+
+    rng = random.Random(5)
+    items = [(i, " ".join(f"parola{rng.randrange(400)}" for _ in range(16))) for i in range(150)]
+    for kind in ("added", "removed"):
+        docs = []
+        for i, text in items:
+            w, at = text.split(), rng.randrange(4, 12)
+            w[at : at + (kind == "removed")] = ["nuova"] if kind == "added" else []
+            # with words on both sides, and alone
+            docs += [(i, "prima " + " ".join(w) + " dopo"), (1000 + i, " ".join(w))]
+        got = {(r.doc_id, r.item_id, r.edits) for r in find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), window=16, max_edits=1).collect()}
+        assert all(d % 1000 == i and e == 1 for d, i, e in got)
+        for base in (0, 1000):
+            assert len([1 for i, _ in items if (base + i, i, 1) in got]) >= 135, (kind, base)
+
+
+def test_closest_run():
+    import numpy as np
+
+    from lexstrata.llm.leaks import edit_distance
+
+    a = np.arange(1, 9)
+    for b, d in (([0, *a, 0], 0), ([1, 2, 3, 4, 0, 5, 6, 7, 8], 1), ([0, 1, 2, 3, 5, 6, 7, 8, 0], 1), ([1, 2, 0, 4, 5, 6, 0, 8], 2), ([9] * 8, 2)):
+        assert edit_distance(a, np.array(b), 1) == d
