@@ -14,6 +14,7 @@ from lexstrata.operators import chunks as C
 from lexstrata.operators import export as E
 from lexstrata.operators import manifest as M
 from lexstrata.operators import records as R
+from lexstrata.operators import sampling
 from lexstrata.operators import structure as S
 from lexstrata.operators.order import positions
 from lexstrata.plans.structure import BLOCKS, NODES, ORDERED, query
@@ -228,6 +229,18 @@ def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where((F.col("n") <= PAGES) | picked).select("file", "page")
 
 
+@query()
+def language_sample_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that the language of each file is judged by: language_sample with short lines, distinct, within its budget."""
+    return sampling.language_text(delivered_blocks(spark, sf_dir))
+
+
+@query()
+def page_sample_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages and text that the structure of each file is judged by: page_sample with the first page of each label, within its budget."""
+    return sampling.page_text(S.prepared(delivered_blocks(spark, sf_dir)))
+
+
 def _markers(p: P.Profile) -> str:
     names = "Parte|Titolo|Capo|Sezione|Allegato|Articolo|Art[.]?" if p.code == "it" else "Part|Title|Chapter|Subpart|Schedule|Annex|Appendix|Section|Article"
     return f"(?iU)(?=\\b(?:{names})\\s+(?:[IVXLCDM]+\\b|\\d))"
