@@ -126,7 +126,7 @@ def fitting_items(df: DataFrame, keys: list[str], id_col: str, text_col: str, ca
                     rows.append(i)
                     out.append((0, n, text))
                 elif n:
-                    for k, (a, b, c, d) in enumerate(pieces(text, capacity, 0, "alnum")):
+                    for k, (a, b, c, d) in enumerate(pieces(text, capacity, 0, "alnum", early=False)):
                         rows.append(i)
                         out.append((k, b - a, text[c:d].strip() if texts else ""))
             columns = list(zip(*out)) if out else [()] * 3

@@ -46,10 +46,11 @@ def boundary_ranks(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
     return ranks
 
 
-def cuts(ranks: np.ndarray, limit: int, overlap: int) -> np.ndarray:
+def cuts(ranks: np.ndarray, limit: int, overlap: int, early: bool = False) -> np.ndarray:
     """Ends (exclusive word numbers) of the pieces of a text whose words have these ranks.
 
-    A piece ends at the last boundary of the best rank in its second half, else at the limit; the next starts
+    A piece ends at the last boundary of the best rank in its second half; with ``early``, else at the last boundary of
+    any rank in its first half that lies behind the cut before and beyond the overlap; else at the limit. The next starts
     ``overlap`` words before.
     """
     n = len(ranks)
@@ -70,6 +71,12 @@ def cuts(ranks: np.ndarray, limit: int, overlap: int) -> np.ndarray:
             good = undone & (found > low)
             after[good] = found[good]
             undone &= ~good
+    places = np.flatnonzero(ranks > 0) + 1
+    if early and len(places):
+        last = np.searchsorted(places, far, side="right") - 1
+        found = np.where(last >= 0, places[np.maximum(last, 0)], -1)
+        good = undone & (found > np.maximum(ends, starts + overlap))
+        after[good] = found[good]
     after[n] = n
     reached = np.array([after[0]])
     jump = after
@@ -80,13 +87,13 @@ def cuts(ranks: np.ndarray, limit: int, overlap: int) -> np.ndarray:
         reached, jump = wider, jump[jump]
 
 
-def pieces(text: str, limit: int, overlap: int, word: str = "white") -> list[tuple[int, int, int, int]]:
-    """(first word, end word, first character, end character) of each piece; what stands between words goes with the one before."""
+def pieces(text: str, limit: int, overlap: int, word: str = "white", early: bool = True) -> list[tuple[int, int, int, int]]:
+    """(first word, end word, first character, end character) of each piece; what stands between words goes with the one before; ``early`` as in ``cuts``."""
     spans = [m.span() for m in WORDS[word].finditer(text)]
     if not spans:
         return []
     overlap = min(max(overlap, 0), limit // 2)
-    ends = cuts(boundary_ranks(text, spans), limit, overlap).tolist() if len(spans) > limit else [len(spans)]
+    ends = cuts(boundary_ranks(text, spans), limit, overlap, early).tolist() if len(spans) > limit else [len(spans)]
     starts = [0, *(max(0, e - overlap) for e in ends[:-1])]
     return [(a, b, spans[a][0] if a else 0, spans[b][0] if b < len(spans) else len(text)) for a, b in zip(starts, ends)]
 

@@ -129,3 +129,24 @@ def test_pack(spark):
     assert sorted((r.grp or "", r.words) for r in got) == [("", 1), ("a", 12), ("a", 220), ("a", 220)]
     assert [r.text for r in got if r.grp is None] == ["tre"] and sorted(i for r in got for i in r["items"]) == [1, 4, 4, 4, 5]
     assert pack(df.where("false"), ["grp"], "id", "testo").count() == 0
+
+
+def test_boundaries_of_the_first_half_are_used():
+    import numpy as np
+
+    text = "w " * 59 + "fine. " + "w " * 300
+    assert [(a, b) for a, b, _, _ in pieces(text, 220, 40)] == [(0, 60), (20, 240), (200, 360)]
+    # a boundary within the overlap gives no new piece
+    assert [(a, b) for a, b, _, _ in pieces("w " * 29 + "fine. " + "w " * 300, 220, 40)] == [(0, 220), (180, 330)]
+    rng = random.Random(9)
+    for _ in range(300):
+        ranks = np.array([rng.choice((0,) * 12 + (1, 2, 3)) for _ in range(rng.randint(21, 400))], dtype=np.int8)
+        overlap, before, start = rng.randint(0, 10), 0, 0
+        for end in cuts(ranks, 20, overlap, early=True).tolist():
+            if end < len(ranks):
+                usable = [p + 1 for p in range(start + 20) if ranks[p] and p + 1 > max(before, start + overlap)]
+                assert before < end <= start + 20 and (ranks[end - 1] > 0 or not usable)
+                if end <= max(before, start + 10):
+                    assert end == usable[-1]
+            before, start = end, max(0, end - overlap)
+        assert before == len(ranks)
