@@ -213,3 +213,27 @@ def test_package_stands_without_the_subpackage():
     for f in root.rglob("*.py"):
         if "llm" not in f.relative_to(root).parts[:1]:
             assert not re.search(r"lexstrata\.llm|from \.+llm", f.read_text()), f
+
+
+def test_chunks_of_long_nodes(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+
+    def check(nodes):
+        rows = [("f", owner, owner + 1 + n, "content", "w " * k, 0.5) for owner, words in nodes.items() for n, k in enumerate(words)]
+        got = {}
+        for r in C.chunks(spark.createDataFrame(rows, "file string, owner_seq bigint, seq bigint, label string, testo string, label_confidence double")).collect():
+            assert (r.owner_seq, r.chunk_index) not in got
+            got[r.owner_seq, r.chunk_index] = (r["items"], r.word_count)
+        wanted = {}
+        for owner, words in nodes.items():
+            for n, (k, c) in enumerate(zip(words, [-1] * len(words) if sum(words) < 60 else brute_chunks(words))):
+                items, total = wanted.get((owner, c), ([], 0))
+                wanted[owner, c] = ([*items, owner + 1 + n], total + k)
+        assert got == wanted
+
+    check({0: [3] * 4_110, 10_000: [50, 100, 20]})
+    monkeypatch.setattr(C, "SPAN", 7)
+    ranges = [rng.choice(((1, 60), (0, 220), (0, 3), (0, 1), (200, 220))) for _ in range(60)]
+    check({1_000 * i: [rng.randint(*r) for _ in range(rng.randint(1, 80))] for i, r in enumerate(ranges)})
