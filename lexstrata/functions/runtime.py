@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -27,23 +28,18 @@ def read_spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share.
+    """Folder that all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset (local runs) a temporary folder
-    takes its place.
+    Only where that is unset and driver and executors are one process (master ``local``) a temporary folder takes its
+    place; on a cluster it has to be set.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), f"lexstrata-checkpoints-{os.getpid()}")
-    return found
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that later reads neither recompute it nor depend on one executor."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    if found:
+        return found
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    return os.path.join(tempfile.gettempdir(), f"lexstrata-checkpoints-{os.getpid()}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexstrata.functions.runtime import read_table
-from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_depth, tree_nodes, tree_schema
+from lexstrata.functions.runtime import read_spread
+from lexstrata.operators.flatten import flatten_trees, merged_members, tree_contents, tree_nodes
 from lexstrata.plans import records, structure  # noqa: F401 - records adds its queries to those of structure
 
 
@@ -18,23 +18,22 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes and content items of every complete tree, with their paths."""
-    return flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")).select("record_id", "kind", "path", "parent_path")
+    return flatten_trees(read_spread(spark, sf_dir, "struttura_ad_albero")).select("record_id", "kind", "path", "parent_path")
 
 
 def p7_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of nodes."""
-    return tree_nodes(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+    return tree_nodes(flatten_trees(read_spread(spark, sf_dir, "struttura_ad_albero")))
 
 
 def p7_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table of content items."""
-    return tree_contents(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+    return tree_contents(flatten_trees(read_spread(spark, sf_dir, "struttura_ad_albero")))
 
 
 def p7_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged schema of all trees and their deepest nesting."""
-    trees = read_table(spark, sf_dir, "struttura_ad_albero")
-    return spark.createDataFrame([(tree_schema(trees), tree_depth(trees))], "merged string, depth int")
+    """The merged schema: members of nodes and items with their types, how often they occur and in how deep records."""
+    return merged_members(read_spread(spark, sf_dir, "struttura_ad_albero")).where("kind is not null")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

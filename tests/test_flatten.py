@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from lexstrata.operators.flatten import flatten_trees, tree_contents, tree_depth, tree_nodes, tree_schema
+from lexstrata.operators.flatten import LEVELS_AT_ONCE, flatten_trees, merged_members, merged_schema, tree_contents, tree_nodes
 
 NODE = {"name": "document", "etichetta": "document", "contenuto": ["bare", None, {"etichetta": "point", "testo": "a \"quoted\" {brace}", "confidenza": "0.7"}], "figli": [None, {"name": "article:1", "numero": 1, "contenuto": {"testo": "single"}, "figli": {"name": "inner"}}]}
 
@@ -52,18 +52,31 @@ def test_fields_and_tables(spark):
 
 
 def test_any_depth_and_repeated_records(spark):
-    tree = {"name": "leaf"}
-    for i in range(30):
+    tree = {"name": "leaf", "contenuto": ["last"]}
+    for i in range(3 * LEVELS_AT_ONCE + 2):
         tree = {"name": str(i), "figli": [tree]}
-    df = rows(spark, [json.dumps(tree), json.dumps(tree)])
-    assert tree_depth(df) == 31 and flatten_trees(df).count() == 62
+    df = rows(spark, [json.dumps(tree), json.dumps(tree), json.dumps({"name": "flat"})])
+    depth = 3 * LEVELS_AT_ONCE + 3
+    flat = flatten_trees(df)
+    assert merged_schema(df).levels == depth and flat.count() == 2 * (depth + 1) + 1
+    deepest = flat.where("testo = 'last'").select("level", "parent_path").distinct().collect()
+    assert [(r.level, r.parent_path.count(".")) for r in deepest] == [(depth, depth - 1)]
 
 
 def test_empty_table(spark):
     df = rows(spark, ["x"]).where("false")
-    assert flatten_trees(df).count() == 0 and tree_depth(df) == 0
+    assert flatten_trees(df).count() == 0 and merged_schema(df).levels == 0
 
 
-def test_merged_schema_has_optional_members(spark):
-    schema = tree_schema(rows(spark, [json.dumps({"a": 1}), json.dumps({"b": "x"})]))
-    assert "a: BIGINT" in schema and "b: STRING" in schema
+def test_merged_schema_has_members_of_all_levels_with_their_types(spark):
+    df = rows(spark, [json.dumps({"numero": 1, "figli": [{"numero": "x", "contenuto": {"testo": None}}]}), json.dumps({"extra": True})])
+    got = {(r.kind, r.member): r.type for r in merged_members(df).where("kind is not null and member <> 'numero'").collect()}
+    assert got == {("node", "figli"): "array", ("node", "contenuto"): "object", ("content", "testo"): "null", ("node", "extra"): "boolean"}
+    assert merged_schema(df).of("node", "numero") == {"number", "string"} and merged_schema(df).of("content", "testo") == frozenset()
+
+
+def test_the_schema_decides_what_is_extracted(spark):
+    df = rows(spark, [json.dumps([{"name": "a", "figli": [{"rubrica": "only below"}]}])])
+    assert [r.rubrica for r in flatten_trees(df).orderBy("path").collect()] == [None, "only below"]
+    plan = flatten_trees(df)._jdf.queryExecution().logical().toString()
+    assert "$.rubrica" in plan and "$.confidenza" not in plan and "$.contenuto" not in plan
