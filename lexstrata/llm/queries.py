@@ -18,7 +18,7 @@ def _packable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of both tables: source, grp (record or file), id and testo."""
     from lexstrata.operators.flatten import flatten_trees, tree_contents
 
-    contents = tree_contents(flatten_trees(read_table(spark, sf_dir, "struttura_ad_albero")))
+    contents = tree_contents(flatten_trees(read_spread(spark, sf_dir, "struttura_ad_albero")))
     trees = contents.select(F.lit("tree").alias("source"), F.col("record_id").cast("string").alias("grp"), F.col("path").alias("id"), "testo")
     blocks = read_table(spark, sf_dir, "ocr_blocks").select(F.lit("blocks").alias("source"), F.col("file").alias("grp"), F.col("block_id").cast("string").alias("id"), "testo")
     return trees.unionByName(blocks)

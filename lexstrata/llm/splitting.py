@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: What a word is: a run of characters that are not white space, or one of letters and digits.
 WORDS = {"white": regex.compile(f"[^{WHITE}]+"), "alnum": re.compile(r"[^\W_]+")}
-PARAGRAPH = re.compile(r"\n[ \t\r\xa0]*\n")
-SENTENCE, CLAUSE = re.compile(r"[.!?…][»”\"’)\]]*$"), re.compile(r"[,;:–—][»”\"’)\]]*$")
+#: What ends a paragraph, sentence or clause: a blank line, or a mark, with what closes behind it, before white space.
+BOUNDARY = re.compile(r"\n[ \t\r\xa0]*\n|[.!?…,;:–—][»”\"’)\]]*(?=\s|$)")
 
 
 def word_number(text: str) -> int:
@@ -30,52 +30,31 @@ def word_number(text: str) -> int:
     return len(WORDS["alnum"].findall(text))
 
 
-def boundary_ranks(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
-    """For each word, how good a cut after it is: 3 paragraph, 2 sentence, 1 clause, 0 anywhere."""
-    ranks = np.zeros(len(spans), dtype=np.int8)
-    for i, (a, b) in enumerate(spans):
-        until = spans[i + 1][0] if i + 1 < len(spans) else len(text)
-        tail = text[max(a, b - 6) : until]
-        close = tail.rstrip()
-        if SENTENCE.search(close):
-            ranks[i] = 2
-        elif CLAUSE.search(close):
-            ranks[i] = 1
-        if "\n" in tail and PARAGRAPH.search(tail):
-            ranks[i] = 3
-    return ranks
-
-
-def cuts(ranks: np.ndarray, limit: int, overlap: int, early: bool = False) -> np.ndarray:
-    """Ends (exclusive word numbers) of the pieces of a text whose words have these ranks.
-
-    A piece ends at the last boundary of the best rank in its second half; with ``early``, else at the last boundary of
-    any rank in its first half that lies behind the cut before and beyond the overlap; else at the limit. The next starts
-    ``overlap`` words before.
+def boundaries(text: str, starts: np.ndarray) -> np.ndarray:
+    """Numbers of words (rising) behind which the text has a natural boundary, from one pass over it."""
+    ends = np.fromiter((m.end() for m in BOUNDARY.finditer(text)), dtype=np.int64)
+    places = np.unique(np.searchsorted(starts, ends, side="left"))
+    return places[places > 0]
+
+
+def cuts(places: np.ndarray, n: int, limit: int, overlap: int) -> np.ndarray:
+    """Ends (exclusive word numbers) of the pieces of a text of ``n`` words with natural boundaries behind ``places`` words.
+
+    Every possible end is joined to the end of the piece that follows it, which starts ``overlap`` words before: its
+    farthest legal successor, which is the last boundary within the limit that lies behind it and brings more than the
+    overlap; where no boundary does, the word at the limit.
     """
-    n = len(ranks)
     if n <= limit:
         return np.array([n] if n else [], dtype=np.int64)
     ends = np.arange(n + 1)
     starts = np.maximum(ends - overlap, 0)
     starts[0] = 0
     far = np.minimum(starts + limit, n)
-    low = np.maximum(ends, starts + limit // 2)  # a cut must lie behind the one before and in the second half
     after = far.copy()
-    undone = far < n
-    for rank in (3, 2, 1):
-        places = np.flatnonzero(ranks == rank) + 1
-        if len(places):
-            last = np.searchsorted(places, far, side="right") - 1
-            found = np.where(last >= 0, places[np.maximum(last, 0)], -1)
-            good = undone & (found > low)
-            after[good] = found[good]
-            undone &= ~good
-    places = np.flatnonzero(ranks > 0) + 1
-    if early and len(places):
+    if len(places):
         last = np.searchsorted(places, far, side="right") - 1
         found = np.where(last >= 0, places[np.maximum(last, 0)], -1)
-        good = undone & (found > np.maximum(ends, starts + overlap))
+        good = (far < n) & (found > np.maximum(ends, starts + overlap))
         after[good] = found[good]
     after[n] = n
     reached = np.array([after[0]])
@@ -87,13 +66,16 @@ def cuts(ranks: np.ndarray, limit: int, overlap: int, early: bool = False) -> np
         reached, jump = wider, jump[jump]
 
 
-def pieces(text: str, limit: int, overlap: int, word: str = "white", early: bool = True) -> list[tuple[int, int, int, int]]:
-    """(first word, end word, first character, end character) of each piece; what stands between words goes with the one before; ``early`` as in ``cuts``."""
+def pieces(text: str, limit: int, overlap: int, word: str = "white") -> list[tuple[int, int, int, int]]:
+    """(first word, end word, first character, end character) of each piece; what stands between words goes with the one before."""
     spans = [m.span() for m in WORDS[word].finditer(text)]
     if not spans:
         return []
     overlap = min(max(overlap, 0), limit // 2)
-    ends = cuts(boundary_ranks(text, spans), limit, overlap, early).tolist() if len(spans) > limit else [len(spans)]
+    if len(spans) > limit:
+        ends = cuts(boundaries(text, np.array([a for a, _ in spans])), len(spans), limit, overlap).tolist()
+    else:
+        ends = [len(spans)]
     starts = [0, *(max(0, e - overlap) for e in ends[:-1])]
     return [(a, b, spans[a][0] if a else 0, spans[b][0] if b < len(spans) else len(text)) for a, b in zip(starts, ends)]
 

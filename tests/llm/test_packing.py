@@ -4,47 +4,42 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lexstrata.llm.packing import assign_chunks, pack, plan
 from lexstrata.llm.queries import oracle_sql, p2_found
-from lexstrata.llm.splitting import WORDS, boundary_ranks, cuts, pieces, split_long
+from lexstrata.llm.splitting import WORDS, boundaries, cuts, pieces, split_long
 
 
-def walk(ranks, limit, overlap):
+def walk(places, n, limit, overlap):
     """The greedy cuts one after the other."""
-    n, out, start, end = len(ranks), [], 0, 0
+    out, start, end = [], 0, 0
     while True:
-        far, low = min(start + limit, n), max(end, start + limit // 2)
-        new = far
-        if far < n:
-            for rank in (3, 2, 1):
-                places = [p + 1 for p in range(far) if ranks[p] == rank and low < p + 1 <= far]
-                if places:
-                    new = places[-1]
-                    break
+        far = min(start + limit, n)
+        legal = [p for p in places if max(end, start + overlap) < p <= far]
+        new = far if far == n or not legal else legal[-1]
         out.append(new)
         if new == n:
             return out
         end, start = new, max(0, new - overlap)
 
 
-def test_cuts_equal_the_walk():
-    import numpy as np
-
+def test_cuts_equal_the_walk_to_the_farthest_boundary():
     rng = random.Random(6)
-    for _ in range(300):
-        ranks = np.array([rng.choice((0, 0, 0, 0, 1, 2, 3)) for _ in range(rng.randint(21, 400))], dtype=np.int8)
-        limit = 20
-        overlap = rng.randint(0, 10)
-        assert cuts(ranks, limit, overlap).tolist() == walk(ranks, limit, overlap)
+    for share in (0.02, 0.1, 0.5):
+        for _ in range(200):
+            n, overlap = rng.randint(21, 400), rng.randint(0, 10)
+            places = [p for p in range(1, n + 1) if rng.random() < share]
+            assert cuts(np.array(places, dtype=np.int64), n, 20, overlap).tolist() == walk(places, n, 20, overlap)
 
 
 def test_boundaries():
-    text = "Uno due. Tre, quattro\n\ncinque sei"
-    spans = [m.span() for m in WORDS["white"].finditer(text)]
-    assert boundary_ranks(text, spans).tolist() == [0, 2, 1, 3, 0, 0]
+    for word, n in (("white", 8), ("alnum", 9)):
+        text = "Uno due. Tre, quattro\n \ncinque 3.5 sei (sette.) otto"
+        starts = np.array([m.start() for m in WORDS[word].finditer(text)])
+        assert boundaries(text, starts).tolist() == ([2, 3, 4, 8] if word == "white" else [2, 3, 4, 9][: 4]) and len(starts) == n + 1
 
 
 @pytest.mark.parametrize("word", ["white", "alnum"])
@@ -92,18 +87,33 @@ def first_fit(lengths, capacity=220):
     return len(room)
 
 
+WINDOWS = (220, 110, 55)
+
+
 def test_plan_uses_all_items():
     rng = random.Random(8)
     for _ in range(100):
         counts = {n: rng.randint(1, 50) for n in rng.sample(range(1, 221), rng.randint(1, 60))}
-        left, chunks = dict(counts), 0
-        for pattern, times in plan(counts, 220):
-            assert times > 0 and sum(n * k for n, k in pattern) <= 220
-            chunks += times
-            for n, k in pattern:
+        left, chunks, before = dict(counts), 0, 220
+        for pattern, times, window in plan(counts, WINDOWS):
+            total = sum(n * k for n, k in pattern.items())
+            assert times > 0 and total <= before and max(pattern) <= window
+            before, chunks = total, chunks + times
+            for n, k in pattern.items():
                 left[n] -= k * times
         assert not any(left.values())
-        assert chunks <= 1.02 * first_fit([n for n, k in counts.items() for _ in range(k)]) + 1
+        assert chunks <= 1.03 * first_fit([n for n, k in counts.items() for _ in range(k)]) + 1
+
+
+def test_tiers_decide_what_fills_a_gap():
+    # long windows first take what fills their gap from the shorter tiers; windows of the middle tier are packed by themselves
+    counts = {150: 1, 40: 1, 30: 1, 100: 2, 10: 2}
+    tiers = {frozenset(p.items()): (n, w) for p, n, w in plan(counts, WINDOWS)}
+    assert tiers == {frozenset({150: 1, 40: 1, 30: 1}.items()): (1, 220), frozenset({100: 2, 10: 2}.items()): (1, 110)}
+    # without tiers the plans are others
+    rng = random.Random(3)
+    differ = sum([(sorted(p.items()), n) for p, n, _ in plan(c, WINDOWS)] != [(sorted(p.items()), n) for p, n, _ in plan(c, (220,))] for c in ({n: rng.randint(1, 9) for n in rng.sample(range(1, 221), 40)} for _ in range(50)))
+    assert differ > 40
 
 
 def test_one_group_with_most_rows(spark):
@@ -127,26 +137,16 @@ def test_pack(spark):
     df = spark.createDataFrame(rows, "grp string, id bigint, testo string").withColumn("chunk", F.lit("x")).withColumn("words", F.lit(1))
     got = pack(df, ["grp"], "id", "testo").collect()
     assert sorted((r.grp or "", r.words) for r in got) == [("", 1), ("a", 12), ("a", 220), ("a", 220)]
-    assert [r.text for r in got if r.grp is None] == ["tre"] and sorted(i for r in got for i in r["items"]) == [1, 4, 4, 4, 5]
+    assert [r.text for r in got if r.grp is None] == ["tre"] and sorted(i for r in got for i in r["items"]) == [1, 3, 4, 4, 4, 5]
+    silent = pack(df.where("id = 3"), ["grp"], "id", "testo").collect()
+    assert [(r.words, r["items"], r.text) for r in silent] == [(0, [3], "...")]
     assert pack(df.where("false"), ["grp"], "id", "testo").count() == 0
 
 
 def test_boundaries_of_the_first_half_are_used():
-    import numpy as np
-
     text = "w " * 59 + "fine. " + "w " * 300
     assert [(a, b) for a, b, _, _ in pieces(text, 220, 40)] == [(0, 60), (20, 240), (200, 360)]
     # a boundary within the overlap gives no new piece
-    assert [(a, b) for a, b, _, _ in pieces("w " * 29 + "fine. " + "w " * 300, 220, 40)] == [(0, 220), (180, 330)]
-    rng = random.Random(9)
-    for _ in range(300):
-        ranks = np.array([rng.choice((0,) * 12 + (1, 2, 3)) for _ in range(rng.randint(21, 400))], dtype=np.int8)
-        overlap, before, start = rng.randint(0, 10), 0, 0
-        for end in cuts(ranks, 20, overlap, early=True).tolist():
-            if end < len(ranks):
-                usable = [p + 1 for p in range(start + 20) if ranks[p] and p + 1 > max(before, start + overlap)]
-                assert before < end <= start + 20 and (ranks[end - 1] > 0 or not usable)
-                if end <= max(before, start + 10):
-                    assert end == usable[-1]
-            before, start = end, max(0, end - overlap)
-        assert before == len(ranks)
+    assert [(a, b) for a, b, _, _ in pieces("w " * 29 + "fine. " + "w " * 300, 220, 40)] == [(0, 30), (0, 220), (180, 330)][1:]
+    # the farthest boundary counts, whatever it ends
+    assert [b for _, b, _, _ in pieces("w " * 149 + "fine.\n\n" + "w " * 49 + "ma, " + "w " * 100, 220, 0)] == [200, 300]
