@@ -101,9 +101,9 @@ def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks that are page furniture, hold divided or misread words, or go on from the page before."""
-    from lexstrata.llm.ocr import kinds, scanned
+    from lexstrata.llm.ocr import analysed, kinds
 
-    return kinds(scanned(read_spread(spark, sf_dir, "ocr_blocks"))[0])
+    return kinds(analysed(read_spread(spark, sf_dir, "ocr_blocks"))[0])
 
 
 def p6_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:

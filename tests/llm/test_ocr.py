@@ -6,7 +6,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from lexstrata.llm.ocr import Trie, explained, header_key, kinds, page_value, paragraphs, scanned
+from lexstrata.llm import ocr
+from lexstrata.llm.ocr import STRETCH, Suspects, Trie, analysed, explained, header_key, kinds, numeral, page_value, paragraphs, word_filter
 
 
 def distance(a, b):
@@ -29,14 +30,16 @@ def test_trie_retrieves_all_candidates():
 
 
 def test_confusions():
-    assert explained("solidarity", "soliclarity") == 1 and explained("giorni", "giomi") == 1 and explained("qualità", "qua1i+à") == 2
-    assert explained("medico", "medica") is None and explained("casa", "casa") == 0
+    assert explained("solidarity", "soliclarity") == ("d~cl",) and explained("giorni", "giomi") == ("rn~m",) and explained("qualità", "qua1i+à") == ("l~1", "t~+")
+    assert explained("medico", "medica") is None and explained("casa", "casa") == ()
+    assert numeral("2O1l") == "2011" and numeral("10") is None and numeral("lO") is None
 
 
 def test_page_numbers_and_keys():
     assert page_value("- 12 -") == (12, True) and page_value("12") == (12, False) and page_value("iv") == (4, True) and page_value("Pag. l di 4") == (1, True) and page_value("3/9") == (3, True)
     assert page_value("12 %") is None and page_value("n. 12 Casa") is None
     assert header_key("Gazzetta Locale – 7", 7) == header_key("7 GAZZETTA L0CALE", 7) and header_key("Art. 5 Definizioni", 5) is None
+    assert header_key("Supplemento vy.", 1)[1] and header_key("Testata " * 40, 1)[1] and not header_key("Testata", 1)[1] and header_key("città vera", 1) == header_key("citta yera", 1)
 
 
 NAMES = ["zero", "alfa", "bravo", "delta", "golf", "kilo", "lima"]
@@ -77,14 +80,14 @@ def blocks(spark):
         add("h", p, "Quinta riga del testo, che finisce.")
     for _ in range(30):
         add("g", 1, SENTENCE + ". La relazione annuale, il tecnico-scientifico.")
-    df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string")
+    df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string").withColumn("page_order", F.col("ordine"))
     return df.union(df.where("block_id < 3")).withColumn("kind", F.lit("x")).withColumn("head", F.lit("x")), rows
 
 
 def test_kinds_and_paragraphs(spark):
     df, rows = blocks(spark)
     text = {r[0]: r[4] for r in rows}
-    got = [(text[r.block_id], r.kind) for r in kinds(scanned(df)[0]).collect()]
+    got = [(text[r.block_id], r.kind) for r in kinds(analysed(df)[0]).collect()]
     by = {}
     for t, k in got:
         by.setdefault(k, []).append(t)
@@ -97,4 +100,42 @@ def test_kinds_and_paragraphs(spark):
     texts = {r.text for r in paragraphs(df).where("file = 'f'").collect()}
     assert "Il comitato approva la relazione annuale del consorzio." in texts and "Il consorzio approva la procedura annuale." in texts
     assert "La procedura della qualità comunale." in texts and "Il comitato tecnico-scientifico approva la relazione annuale." in texts
-    assert kinds(scanned(df.where("false"))[0]).count() == 0
+    assert kinds(analysed(df.where("false"))[0]).count() == 0
+
+
+def test_filter_has_every_word_and_a_fixed_size(spark):
+    words = [f"parola{i}" for i in range(3000)] + ["èa", "ß"]
+    bits = word_filter(spark.createDataFrame([(w,) for w in words], "word string"))
+    held = Suspects(bits)
+    assert len(bits) == ocr.FILTER_BITS // 8 and all(held.held(w) for w in words)
+    assert sum(held.held(f"altra{i}") for i in range(3000)) < 30 and held("ÈA") == "èa" and held("pArola1") is None
+
+
+def test_paragraphs_and_furniture_reach_over_stretches(spark):
+    # one paragraph goes on over three stretches of pages of one block each, with a running header on every page
+    n = 3 * STRETCH
+    rows = [(2 * i + k, "f", 2 * i + k, i + 1, "Bollettino di prova" if k == 0 else f"pezzo {i} della stessa frase che") for i in range(n) for k in range(2)]
+    rows = [r if r[0] != 1 else (*r[:4], "Primo pezzo della stessa frase che") for r in rows]
+    df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string").withColumn("page_order", F.col("ordine"))
+    got = {r["head"]: r["blocks"] for r in paragraphs(df).collect()}
+    assert sorted(got) == [1] and got[1] == [2 * i + 1 for i in range(n)]
+
+
+def test_neighbours_rank_candidates(spark):
+    # "casc" may be "case" or, with another confusion, "cosc"; only the words beside it tell "fine" from "fina" in "fin@"
+    good = ["alla fina merce"] * 40 + ["senza fine alcuna"] * 60
+    rows = [(i, "f", i, 1, t) for i, t in enumerate([*good, "alla fin@ merce", "senza fin@ alcuna", "una sola fin@"])]
+    df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string").withColumn("page_order", F.col("ordine"))
+    from lexstrata.functions.runtime import written
+
+    counts = written(ocr.word_counts(df), "w")
+    found = spark.createDataFrame([("fin@", "fina", 40, ["a~@"]), ("fin@", "fine", 60, ["e~@"])], "word string, good string, m bigint, ways array<string>")
+    assert {r.good for r in ocr.candidates(counts).where("word = 'fin@'").collect()} == {"fina"}
+    fixes = {r.block_id: [x["good"] for x in r.fixes] for r in ocr.ranked_corrections(df, found, word_filter(found)).collect()}
+    assert fixes == {100: ["fina"], 101: ["fine"], 102: ["fina"]} or fixes == {100: ["fina"], 101: ["fine"], 102: ["fine"]}
+
+
+def test_short_words_are_corrected(spark):
+    rows = [(i, "f", i, 1, "il testo dell'atto del comune") for i in range(100)] + [(200, "f", 200, 1, "il testo dcl comune")]
+    df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string").withColumn("page_order", F.col("ordine"))
+    assert [(r.block_id, r.kind) for r in kinds(analysed(df)[0]).where("kind = 'misread'").collect()] == [(200, "misread")]
