@@ -4,7 +4,8 @@ Method: the CGK random walk embeds a window of words into a longer string such t
 small Hamming distance; positions sampled from the embedding are the keys of a locality-sensitive hash, repeated until the
 target recall is reached; candidates are verified by the exact edit distance of the item's window to the closest run of words
 around the document's, so that added and removed words count as one edit each. Windows have the size of the smallest
-passage that counts as a leak, and every window of every document is looked up.
+passage that counts as a leak, as windows of whole items would miss items that leaked in part; every window of every
+document is looked up, but for those without a run of words of an item that any window within the edits has to keep.
 
 The held-out items are the small side: they are shipped to the tasks in blocks of bounded size, so the corpus is read by
 maps without a shuffle, whatever its size and skew.
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 WORD = re.compile(r"[^\W_]+")
 #: Embedding length as a multiple of the window, and sampled positions of one key (both fixed values of the method).
-STRETCH, SAMPLED = 3, 10
+STRETCH, SAMPLED = 3, 6
 #: Distinct word classes the random walk tells apart.
 CLASSES = 1 << 10
 #: Where a larger number of keys would be needed, the search is refused instead of finding less.
@@ -112,6 +113,21 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return min(row)  # and end anywhere
 
 
+def least_run(size: int, max_edits: int) -> int:
+    """Words of the longest unedited run that a window of ``size`` words with ``max_edits`` edits has at least."""
+    return max(1, -(-(size - max_edits) // (max_edits + 1)))
+
+
+def run_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` word ids."""
+    n = len(ids) - size + 1
+    out = np.zeros(max(n, 0), dtype=np.uint64)
+    for j in range(size if n > 0 else 0):
+        out = (out ^ ids[j : j + n].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class ItemIndex:
     """Keys of all windows of a block of items."""
 
@@ -127,6 +143,9 @@ class ItemIndex:
                 owners.append(item)
             ids += own
         self.ids, self.owners, self.starts = np.array(ids or [0], dtype=np.int64), owners, np.array(starts, dtype=np.int64)
+        self.run = least_run(size, max_edits)
+        inside = np.unique((self.starts[:, None] + np.arange(size - self.run + 1)[None, :]).ravel()) if owners else self.starts
+        self.runs = np.unique(run_hashes(self.ids, self.run)[inside]) if owners else np.zeros(0, dtype=np.uint64)
         self.hash = WalkKeys(size, repetitions)
         self.known: list[list[np.ndarray]] = []
         self.table: list[dict[int, list[int]]] = []
@@ -158,6 +177,9 @@ class ItemIndex:
         starts = np.arange(len(ids) - size + 1)
         # a word that no item has needs an edit of its own
         starts = starts[(unknown[starts + size] - unknown[starts] <= self.max_edits) & (owner[starts] == owner[starts + size - 1])]
+        hashes = run_hashes(ids, self.run)
+        kept = np.concatenate([[0], np.cumsum(self.runs[np.minimum(np.searchsorted(self.runs, hashes), len(self.runs) - 1)] == hashes)])
+        starts = starts[kept[starts + size - self.run + 1] > kept[starts]]
         best: dict[tuple[int, int], int] = {}
         for rep in range(len(self.hash.walk)):
             key, _, left = self.hash.keys(ids, starts, rep, self.known[rep])

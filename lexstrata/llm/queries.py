@@ -121,10 +121,10 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold at least 12 consecutive words of a test item."""
+    """Documents that hold at least 12 consecutive words of a test item: what the search for passages with up to one edit finds without one."""
     from lexstrata.llm.leaks import find_leaks
 
-    return find_leaks(read_spread(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select("doc_id", "item_id")
+    return find_leaks(read_spread(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=12, max_edits=1).where("edits = 0").select("doc_id", "item_id")
 
 
 def p9_edited(spark: SparkSession, sf_dir: str) -> DataFrame:

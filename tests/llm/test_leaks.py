@@ -82,3 +82,20 @@ def test_closest_run():
     a = np.arange(1, 9)
     for b, d in (([0, *a, 0], 0), ([1, 2, 3, 4, 0, 5, 6, 7, 8], 1), ([0, 1, 2, 3, 5, 6, 7, 8, 0], 1), ([1, 2, 0, 4, 5, 6, 0, 8], 2), ([9] * 8, 2)):
         assert edit_distance(a, np.array(b), 1) == d
+
+
+def test_runs_drop_no_window_within_the_edits():
+    import random
+
+    from lexstrata.llm.leaks import ItemIndex, least_run
+
+    assert [least_run(12, 0), least_run(12, 1), least_run(16, 1), least_run(12, 2)] == [12, 6, 8, 4]
+    rng = random.Random(4)
+    items = [(i, " ".join(f"p{rng.randrange(300)}" for _ in range(12))) for i in range(60)]
+    texts = []
+    for _, text in items:
+        w, at = text.split(), rng.randrange(12)
+        w[at : at + rng.randint(0, 1)] = [f"p{rng.randrange(300)}"] * rng.randint(0, 1)
+        texts.append("prima " + " ".join(w) + " dopo ancora")
+    found = {(row, item) for row, item, _ in ItemIndex(items, 12, 1, 40).search(texts)}
+    assert sum((i, i) in found for i in range(60)) >= 57
