@@ -1,8 +1,8 @@
 """One form for texts that look the same (problem 4).
 
-Method: a longest-match transducer over grapheme clusters. Its mapping is computed once from rules (widths, spaces,
-invisible characters, composition of accents) and a table of look-alike letters, checked for conflicts, and compiled into
-one pattern that stops only at clusters that may change; each distinct cluster is looked up, so a text is rewritten in one
+Method: a longest-match transducer over grapheme clusters. Its mapping is computed once from Unicode properties (what
+programs may ignore, kinds of space, width and no-break forms, composition of accents) and tables and name rules of
+look-alike letters, checked for conflicts, and compiled into one pattern that stops only at clusters that may change; each distinct cluster is looked up, so a text is rewritten in one
 pass. What differs visibly (case, punctuation, accents, superscripts, symbols, line breaks) is kept apart.
 """
 
@@ -15,45 +15,82 @@ from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Letters of other scripts that look like Latin ones (fixed values).
+from lexstrata.functions.runtime import written
+
+#: Letters of other scripts, and other forms of letters, that look like Latin ones (fixed values).
 LOOKALIKES = {
-    "Cyrillic": "аa еe оo рp сc уy хx іi ѕs јj һh ԁd ԛq ԝw ӏl АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЅS ЈJ ԌG ԚQ ԜW Ӏl",
-    "Greek": "οo νv ιi ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϳj ͿJ ρp",
+    "Cyrillic": "аa еe оo рp сc уy хx іi ѕs јj һh ԁd ԛq ԝw ӏl ѵv АA ВB ЕE КK МM НH ОO РP СC ТT УY ХX ІI ЅS ЈJ ԌG ԚQ ԜW Ӏl",
+    "Greek": "αa οo νv ιi ρp υu ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ϳj ͿJ",
+    "Coptic": "ⲟo ⲣp ⲥc ⲓi ⲭx ⲀA ⲂB ⲈE ⲎH ⲒI ⲔK ⲘM ⲚN ⲞO ⲢP ⲤC ⲦT ⲨY ⲬX ⲌZ",
     "Armenian": "օo հh ոn սu քp ցg զq Օo ՏS ԼL",
     "Cherokee": "ᎪA ᏴB ᏟC ᎠD ᎬE ᏀG ᎻH ᎫJ ᏦK ᏞL ᎷM ᏢP ᏒR ᏚS ᎢT ᏙV ᎳW ᏃZ",
+    "Latin": "ɑa ɡg ſs",
 }
-#: Characters that show nothing (fixed values).
-INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁦⁧⁨⁩⁪⁫⁬⁭⁮⁯﻿"
-#: Kinds of space (fixed values).
-SPACES = "               　"
+#: Scripts whose letters are named after the Latin letters they look like, and the letters of those names (fixed values).
+NAMED = {"LISU LETTER": "BA DA EA FA GA HA JA KA LA MA NA PA RA SA TA VA WA XA YA ZA"}
+
+
+def look_alike_letters() -> Iterator[tuple[str, str]]:
+    """(letter, Latin letter) pairs: the fixed ones, those of NAMED scripts, and Roman numerals by their compatibility forms."""
+    for pairs in LOOKALIKES.values():
+        for source, target in pairs.split():
+            yield source, target
+    for script, letters in NAMED.items():
+        for name in [*letters.split(), *"AEIOU"]:
+            try:
+                yield unicodedata.lookup(f"{script} {name}"), name[0]
+            except KeyError:
+                continue
+    for code in range(0x2160, 0x2180):
+        yield chr(code), unicodedata.normalize("NFKC", chr(code))
+
+
+def _of_property(pattern: str) -> list[str]:
+    """All characters outside ASCII and private use that the pattern of a Unicode property takes."""
+    every = "".join(chr(c) for a, b in ((0x80, 0xD800), (0xF900, 0x20000), (0xE0000, 0xE1000)) for c in range(a, b))
+    return regex.findall(pattern, every)
+
+
+@cache
+def invisible() -> frozenset[str]:
+    """Characters that show nothing: all that Unicode lets programs ignore (joiners, direction marks, variation selectors, fillers, tags)."""
+    return frozenset(_of_property(r"\p{Default_Ignorable_Code_Point}"))
 
 
 def single_rules() -> dict[str, str]:
-    """The mapping of single characters; raises if two rules disagree or a result is changed by another rule."""
+    """The mapping of single characters, from Unicode properties and the letters; raises if two rules disagree or a result is changed by another rule."""
     rules: dict[str, str] = {}
 
     def add(source: str, target: str) -> None:
         if rules.setdefault(source, target) != target:
             raise ValueError(f"two targets for {source!r}: {rules[source]!r} and {target!r}")
 
-    for code in range(0xFF01, 0xFF5F):
-        add(chr(code), chr(code - 0xFEE0))
-    for code, target in ((0xFFE0, "¢"), (0xFFE1, "£"), (0xFFE2, "¬"), (0xFFE4, "¦"), (0xFFE5, "¥")):
-        add(chr(code), target)
-    for c in INVISIBLE:
+    for c in invisible():
         add(c, "")
-    for c in SPACES:
+    for c in _of_property(r"\p{Zs}"):
         add(c, " ")
-    for pairs in LOOKALIKES.values():
-        for source, target in pairs.split():
-            add(source, target)
-    for source, target in rules.items():
-        if any(t in rules for t in target):
-            raise ValueError(f"{source!r} becomes {target!r}, which another rule changes")
+    for c in map(chr, range(0x2000, 0x10000)):
+        kind, _, form = unicodedata.decomposition(c).partition(" ")
+        if c not in rules and kind in ("<wide>", "<narrow>", "<noBreak>"):
+            add(c, "".join(chr(int(x, 16)) for x in form.split()))
+    for source, target in look_alike_letters():
+        add(source, target)
+    # a rule's result may be a character of another rule: follow it, but not in a circle
+    for source in rules:
+        target = rules[source]
+        for _ in range(4):
+            onward = "".join(rules.get(t, t) for t in target)
+            if onward == target:
+                break
+            target = onward
+        else:
+            raise ValueError(f"{source!r} has no last form")
+        rules[source] = target
     return rules
 
 
@@ -72,9 +109,11 @@ class Transducer:
     """Compiled form of the mapping."""
 
     def __init__(self):
-        self.rules = single_rules()
+        self.rules, self.hidden = single_rules(), invisible()
         marks = [chr(c) for c in range(0x300, 0x10000) if unicodedata.category(chr(c))[0] == "M" and chr(c) not in self.rules]
-        trail = _class(marks) + _class(list(INVISIBLE))
+        hidden = list(invisible())
+        marks += [c for c, t in self.rules.items() if t and unicodedata.category(t[0])[0] == "M"]
+        trail = _class(marks) + _class(hidden)
         # a cluster: any character with the marks and invisible characters that follow it, or one beyond ASCII
         self.clusters = re.compile(f"[\\x00-\\x7f](?=[{trail}])[{trail}]+|[^\\x00-\\x7f][{trail}]*")
         self.memo: dict[str, str] = {}
@@ -84,7 +123,7 @@ class Transducer:
 
     def cluster(self, text: str) -> str:
         """The form of one cluster: single rules, then composition of its accents."""
-        mapped = "".join([self.rules.get(c, c) for c in unicodedata.normalize("NFC", "".join(c for c in text if c not in INVISIBLE))])
+        mapped = "".join([self.rules.get(c, c) for c in unicodedata.normalize("NFC", "".join(c for c in text if c not in self.hidden))])
         mapped = unicodedata.normalize("NFC", mapped)
         # a look-alike letter with its accent is one character in its own script; take it apart to reach the letter
         if len(mapped) == 1 and ord(mapped) > 127:
@@ -150,6 +189,25 @@ def looks(df: DataFrame, id_col: str = "block_id", text_col: str = "testo") -> D
     return df.select(id_col, text_col).where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).mapInArrow(run, f"id {df.schema[id_col].dataType.simpleString()}, look binary, own bigint, changed boolean")
 
 
+def alike(df: DataFrame, id_col: str = "block_id", text_col: str = "testo") -> DataFrame:
+    """(id, look, own) of the rows whose look a changed text has; rows delivered twice come once."""
+    every = written(looks(df, id_col, text_col), "forms")
+    changed = every.where("changed").select("look").distinct()
+    return every.join(changed, "look", "left_semi").select("id", "look", "own").distinct()
+
+
+def look_links(df: DataFrame, id_col: str = "block_id", text_col: str = "testo") -> DataFrame:
+    """id, look (number of the class), rows of the class and links (rows of it with another text), of rows with at least one link.
+
+    The form for large groups: one row for each id, however many pairs there are. Cases as in ``same_look_pairs``.
+    """
+    rows = written(alike(df, id_col, text_col), "looks")
+    texts = rows.groupBy("look", "own").agg(F.count(F.lit(1)).alias("same"))
+    sizes = texts.groupBy("look").agg(F.sum("same").alias("rows"))
+    held = rows.join(texts, ["look", "own"]).join(sizes, "look")
+    return held.select("id", F.xxhash64("look").alias("look"), "rows", (F.col("rows") - F.col("same")).alias("links")).where("links > 0")
+
+
 def same_look_pairs(df: DataFrame, id_col: str = "block_id", text_col: str = "testo") -> DataFrame:
     """(a, b), smaller id first: rows whose texts are not identical but look the same.
 
@@ -158,9 +216,7 @@ def same_look_pairs(df: DataFrame, id_col: str = "block_id", text_col: str = "te
     its own copies. Null texts and ids match nothing; empty texts are equal, not look-alikes, but a text of invisible
     characters looks like the empty one; rows delivered twice count once; an empty table gives no pair.
     """
-    every = looks(df, id_col, text_col)
-    changed = every.where("changed").select("look").distinct()
-    rows = every.join(changed, "look", "left_semi").select("id", "look", "own").distinct()
+    rows = written(alike(df, id_col, text_col), "looks")
     texts = rows.select("look", "own").distinct()
     two = texts.select("look", F.col("own").alias("x")).join(texts.select("look", F.col("own").alias("y")), "look").where("x < y")
     first = two.join(rows.select("look", F.col("own").alias("x"), F.col("id").alias("p")), ["look", "x"])

@@ -74,6 +74,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("a").alias("block_id_a"), F.col("b").alias("block_id_b"))
 
 
+def p4_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each block that looks like another: its class and its number of links."""
+    from lexstrata.llm.lookalike import look_links
+
+    return look_links(read_spread(spark, sf_dir, "ocr_blocks")).withColumnRenamed("id", "block_id")
+
+
 def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every delivered block with its text in one form."""
     from lexstrata.llm.lookalike import canonical
@@ -147,7 +154,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
+    return {"p1_chunks": p1_chunks, "p1_items": p1_items, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_links": p4_links, "p4_canonical": p4_canonical, "p5_found": p5_found, "p5_languages": p5_languages, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p8_ids": p8_ids, "p9_found": p9_found, "p9_edited": p9_edited, "p10_found": p10_found, "p10_restored": p10_restored}
 
 
 def oracle_sql() -> dict[str, str]:
