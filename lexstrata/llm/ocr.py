@@ -53,11 +53,13 @@ HYPHENS = "-‐\xad¬"
 DIVIDED = re.compile(rf"([^\W\d_]+)([{HYPHENS}])[ \t]*\r?\n[ \t]*([^\W\d_]+)")
 AT_END = re.compile(rf"([^\W\d_]+)([{HYPHENS}])\s*$")
 PLAIN = re.compile(r"[^\W\d_]+(?:[-‐][^\W\d_]+)*")
+LONG_WORD = re.compile(r"[^\W\d_]{2}")
 TOKEN = re.compile(rf"[\w{re.escape(SYMBOLS)}]+")
 COMPOUND = re.compile(rf"[\w{re.escape(SYMBOLS)}]+(?:[-‐][\w{re.escape(SYMBOLS)}]+)*")
 BROKEN = re.compile(rf"[{HYPHENS}][ \t]*\r?\n")
 MARKS = re.compile(r"[@!+|$0-9]+")
-EDGE_NUMBER = re.compile(r"^\W*(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)(?:\s*[–—|·\-]\s*|\s+)(?=\D)|(?:\s*[–—|·\-]\s*|\s+)(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)\W*$", re.I)
+HEAD_NUMBER = re.compile(r"\W*(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)(?:\s*[–—|·\-]\s*|\s+)(?=\D)", re.I)
+TAIL_NUMBER = re.compile(r"(?:\s*[–—|·\-]\s*|\s+)(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)\W*$", re.I)
 CODE = re.compile(r"[A-Z0-9]+|[A-Z]{1,3}\d+[a-z]?|\d+(?:st|nd|rd|th|er|ère|e|a|o|ª|º|bis|ter)?")
 NUMERAL = re.compile(r"(?=.*\d)(?=.*[lO])[\dlO]{2,}")
 NUMERAL_INSIDE = re.compile(r"\d[lO]|[lO]\d")
@@ -107,7 +109,7 @@ def explained(printed: str, read: str, most: int = 4) -> tuple[str, ...] | None:
 
 
 class Trie:
-    """Vocabulary trie in arrays: the children of a node stand together, level by level; a word's end holds its count."""
+    """Vocabulary trie in arrays: the children of a node stand together, level by level; a word's end holds its count, and every node the largest count below it."""
 
     def __init__(self, words: dict[str, int]):
         held = sorted(words)
@@ -130,9 +132,13 @@ class Trie:
                 self.last.append(len(letters))
             level, depth = below, depth + 1
         self.letters = "".join(letters)
+        self.most = array("q", self.counts)
+        for node in range(len(letters) - 1, -1, -1):
+            if self.first[node] < self.last[node]:
+                self.most[node] = max(self.most[node], max(self.most[self.first[node] : self.last[node]]))
 
-    def within(self, word: str, distance: int) -> list[tuple[str, int]]:
-        """All vocabulary words within the edit distance of ``word``, with their counts.
+    def within(self, word: str, distance: int, least: int = 1) -> list[tuple[str, int]]:
+        """All vocabulary words of at least ``least`` occurrences within the edit distance of ``word``, with their counts.
 
         The automaton's states are rows of the edit table capped at ``distance`` + 1; transitions are built when first
         used and shared by all branches of the trie that reach the same state.
@@ -143,11 +149,13 @@ class Trie:
         known = set(word)
         out: list[tuple[str, int]] = []
         stack = [(0, start, "")]
-        letters, first, last, counts = self.letters, self.first, self.last, self.counts
+        letters, first, last, counts, most = self.letters, self.first, self.last, self.counts, self.most
         while stack:
             node, state, prefix = stack.pop()
             own = steps[state]
             for child in range(first[node], last[node]):
+                if most[child] < least:
+                    continue
                 c = letters[child]
                 seen = c if c in known else "\0"  # letters that the word lacks act alike
                 if seen in own:
@@ -161,7 +169,7 @@ class Trie:
                     if nxt is not None:
                         steps.setdefault(nxt, {})
                 if nxt is not None:
-                    if counts[child] and nxt[-1] <= distance:
+                    if counts[child] >= least and nxt[-1] <= distance:
                         out.append((prefix + c, counts[child]))
                     stack.append((child, nxt, prefix + c))
         return out
@@ -177,7 +185,7 @@ def numeral(token: str) -> str | None:
 
 def joined_lines(text: str) -> str:
     """Text without the words divided at line ends; they prove nothing about the vocabulary."""
-    if BROKEN.search(text):
+    if "\n" in text and BROKEN.search(text):
         text = DIVIDED.sub(" ", text)
     return AT_END.sub(" ", text) if text.rstrip()[-1:] in HYPHENS else text
 
@@ -252,8 +260,8 @@ def candidates(counts: DataFrame) -> DataFrame:
             low = word.lower()
             marks = sum(not c.isalpha() for c in low)
             least = MARKED_LEAST if marks else n * SHORT_RATIO.get(len(low), RATIO)
-            for good, m in trie.within(low, max(1 if len(low) < 4 else DISTANCE, min(marks, 3))):
-                if m >= least and good != low and (ways := explained(good, low)):
+            for good, m in trie.within(low, max(1 if len(low) < 4 else DISTANCE, min(marks, 3)), least):
+                if good != low and (ways := explained(good, low)):
                     out.append((word, good, m, ways))
         columns = list(zip(*out)) if out else [()] * 4
         return pa.table({"word": pa.array(columns[0], pa.string()), "good": pa.array(columns[1], pa.string()), "m": pa.array(columns[2], pa.int64()), "ways": pa.array([list(w) for w in columns[3]], pa.list_(pa.string()))})
@@ -305,16 +313,36 @@ class Suspects:
             return found
 
 
-#: Single characters that misread variants share: marks, look-alike letters and accents (from their decompositions).
-FOLDED = str.maketrans({"0": "o", "1": "i", "!": "i", "|": "i", "l": "i", "+": "t", "5": "s", "9": "g", "6": "g", "b": "g", "8": "g", "@": "a", "4": "a", "2": "z", "7": "t", "e": "c", "q": "g", "h": "u", "y": "v", "u": "v"} | {chr(c): {"e": "c", "u": "v", "y": "v"}.get(d, d) for c in range(0xC0, 0x250) if (d := unicodedata.normalize("NFD", chr(c))[0]).isascii() and chr(c).islower()})
+def _fold_tables() -> tuple[bytes, bytes, bytes]:
+    """Byte tables of Latin-1 and of UTF-8 and the bytes that are dropped: single characters that misread variants share, accents by their decompositions."""
+    shared = dict(zip("01!|l+56b89q@42eh7yu", "oiiiitsgggggaazcutvv"))
+    latin, other = bytearray(range(256)), bytearray(range(256))
+    for code in range(256):
+        base = unicodedata.normalize("NFD", chr(code))[0]
+        if base.isascii():
+            latin[code] = ord(shared.get(base, base))
+        if code < 128:
+            other[code] = latin[code]
+    return bytes(latin), bytes(other), bytes(c for c in range(128) if not chr(c).isalnum() and chr(c) not in SYMBOLS.replace("$", ""))
+
+
+FOLD_LATIN, FOLD_OTHER, DROPPED = _fold_tables()
 
 
-def fold(text: str) -> str:
-    """A form in which misread variants of one line fall together."""
-    low = re.sub(r"[^\w@!+|]+", " ", text.lower()).strip().translate(FOLDED)
-    for a, b in (("rn", "m"), ("ri", "n"), ("ti", "n"), ("ci", "d"), ("ii", "v"), ("vv", "w")):
-        low = low.replace(a, b)
-    return low
+def fold(text: str) -> bytes:
+    """A form in which misread variants of one line fall together, without white space and punctuation."""
+    low = text.lower()
+    try:
+        out = low.encode("latin-1").translate(FOLD_LATIN, DROPPED)
+    except UnicodeEncodeError:
+        low = re.sub(r"[^\w@!+|]+", "", low)
+        try:
+            out = low.encode("latin-1").translate(FOLD_LATIN, DROPPED)
+        except UnicodeEncodeError:
+            out = low.encode("utf-8", "surrogatepass").translate(FOLD_OTHER, DROPPED)
+    for a, b in ((b"rn", b"m"), (b"ri", b"n"), (b"ti", b"n"), (b"ci", b"d"), (b"ii", b"v"), (b"vv", b"w")):
+        out = out.replace(a, b)
+    return out
 
 
 def page_value(text: str) -> tuple[int, bool] | None:
@@ -338,13 +366,16 @@ def header_key(text: str, page: int | None) -> tuple[int, bool] | None:
     """(hash of the folded text without a page number at its ends, whether it is written like a sentence); None for headings and texts of few letters."""
     if HEADING.match(text):
         return None
-    bare = text
+    start, end = 0, len(text)
     if page is not None:
-        bare = EDGE_NUMBER.sub(lambda m: "" if int((m[1] or m[2])[:9]) == page else m[0], text)
-    key = fold(bare)
-    if sum(map(str.isalpha, key[:40])) < 6 and sum(map(str.isalpha, key)) < 6:
+        if (m := HEAD_NUMBER.match(text)) and int(m[1][:9]) == page:
+            start = m.end()
+        if (m := TAIL_NUMBER.search(text, max(start, end - 60))) and int(m[1][:9]) == page:
+            end = m.start()
+    key = fold(text[start:end])
+    if len(key) - key.count(b"3") < 6:
         return None
-    return int.from_bytes(hashlib.blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True), len(text) > 140 or text[-1:] in ".;:,"
+    return int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "little", signed=True), len(text) > 140 or text[-1:] in ".;:,"
 
 
 FEATURES = "block_id bigint, file string, ordine int, page int, page_order int, number bigint, dressed boolean, key bigint, sentence boolean, opens boolean, divided string, mark string, first string, starts int, cell boolean, heading boolean, soft boolean, pairs array<string>, misread boolean, suspects array<string>"
@@ -371,13 +402,13 @@ def features(blocks: DataFrame, bits: bytes) -> DataFrame:
         end = AT_END.search(raw[-80:]) if raw[-1:] in HYPHENS else None
         close = raw[-80:].rstrip("»”\"’')] \n")
         opens = bool(close) and (close[-1] not in ".;:!?…" or bool(OPEN_ABBREVIATION.search(close)))
-        words = PLAIN.findall(flat[:120])
-        heading = len(flat) < 120 and bool(HEADING.match(flat))
-        long_words = sum(len(w) >= 2 for w in words)
-        cell = (long_words < 3 and len(flat) < 120 and any(c.isdigit() for c in flat)) or not long_words
+        short = len(flat) < 120
+        heading = short and bool(HEADING.match(flat))
+        long_words = sum(len(w) >= 2 for w in PLAIN.findall(flat)) if short else bool(LONG_WORD.search(flat))
+        cell = (long_words < 3 and short and any(c.isdigit() for c in flat)) or not long_words
         starts = 0 if heading or MARKER.match(flat[:12]) else 1 if flat[:1].islower() else 2
         soft, pairs = False, []
-        for m in DIVIDED.finditer(text) if BROKEN.search(text) else ():
+        for m in DIVIDED.finditer(text) if "\n" in text and BROKEN.search(text) else ():
             soft |= m[2] in "\xad¬"
             if m[2] not in "\xad¬":
                 pairs.append(f"{m[1]}-{m[3]}".lower())
@@ -385,8 +416,8 @@ def features(blocks: DataFrame, bits: bytes) -> DataFrame:
         found = set(TOKEN.findall(normal if whole == text else form(whole)))
         suspects = sorted({w for t in found if (w := suspect(t))})
         misread = marked(flat) and any(map(NUMERAL.fullmatch, found))
-        first = words[0] if words and flat.startswith(words[0]) else None
-        return (*(number or (None, None)), *(key or (None, None)), opens, end[1] if end else None, end[2] if end else None, first, starts, cell, heading, soft, pairs, misread, suspects)
+        first = PLAIN.match(flat)
+        return (*(number or (None, None)), *(key or (None, None)), opens, end[1] if end else None, end[2] if end else None, first and first[0], starts, cell, heading, soft, pairs, misread, suspects)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form, suspect = transducer().apply, Suspects(bits)
