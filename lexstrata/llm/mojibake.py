@@ -1,7 +1,7 @@
 """Detection and repair of text decoded with a wrong character encoding (problem 10).
 
 Method: a multinomial classifier over hashed byte bigrams is trained on records garbled on purpose, one class for each
-encoding chain and one for clean text. It scores every word that holds characters beyond ASCII; the chain is inverted
+encoding chain, one for each decoding that loses characters and one for clean text. It scores every word that holds characters beyond ASCII; the chain is inverted
 word by word and counts only where encoding and decoding succeed strictly. Neighbouring invertible words form a passage,
 whose log-likelihood ratio against clean text is summed: a single foreign word that happens to be invertible is
 outweighed by its neighbours.
@@ -11,10 +11,14 @@ Words repeat, so a worker scores each distinct one once; the operator itself is
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import unicodedata
+from collections.abc import Iterator, Mapping, Sequence
+from functools import cache
+from types import MappingProxyType
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,28 +40,22 @@ CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
     "cp1252>cp1251": (("cp1252", "cp1251"),),
     "cp1252>latin1": (("cp1252", "latin-1"),),
 }
-NAMES = ["clean", *CHAINS]
-
-#: Clean text in languages and scripts that the training records lack (fixed values).
-FOREIGN = """Příloha č. 5 zákona o územním řízení; žádost musí být podána včas a úřad rozhodne do šedesáti dnů. Žlutá, šířka, dům, kůň, běžný.
-Zażółć gęślą jaźń, łódź, źródło, święto, ćma. Ustawa o ochronie środowiska wchodzi w życie z dniem ogłoszenia w Łodzi.
-Az önkormányzat képviselő-testülete megállapítja a költségvetést, különös tekintettel az ügyfelekre és a hűség űrlapra.
-Legea privind protecția mediului și a sănătății publice intră în vigoare după publicare, în județul Iași, ţară, ştire.
-Bu kanunun yürürlük tarihi yayımı tarihidir; başvuru, değişiklik, çevre, ığdır, şehir ve güvenlik için geçerlidir.
-Настоящий закон вступает в силу со дня его официального опубликования и применяется на всей территории страны.
-Цей закон набирає чинності з дня його опублікування; їжак, єдність, ґрунт. Законът влиза в сила от деня на обнародването.
-Ο παρών νόμος τίθεται σε ισχύ από τη δημοσίευσή του και εφαρμόζεται σε όλη την επικράτεια, πρωτόκολλο, άρθρο, έως.
-この法律は公布の日から施行する。第三条 市町村は条例を定めることができる。本法自公布之日起施行。이 법은 공포한 날부터 시행한다.
-يسري هذا القانون من تاريخ نشره في الجريدة الرسمية. חוק זה ייכנס לתוקף ביום פרסומו. यह कानून प्रकाशन की तारीख से लागू होगा।
-Loven træder i kraft på dagen efter offentliggørelsen; ændringer, køn, åben, Ærø. Lög þessi öðlast gildi þegar í stað, æði, ýmis.
-½ m² ¾ ¼ 10 % ± 5 ° × ÷ → ← ↑ ✓ ✗ ≥ ≤ ≠ € £ ¥ © ® ™ § ¶ • … « » “ ” ‘ ’ „ ‚ – — · ª º ¹ ² ³ † ‡ 🙂 📜 α β π Ω µ ∑ √ ∞ │ ─ ┌ █ ░
-SÃO JOÃO, CÂMARA, NAÇÃO, Â, À, É, Ê, Ô, L’ÂGE, naïf, naïve, naïve. naïve, naïveté, maïs, haïr, aïeul, coïncidence, héroïque, mosaïque, laïque, archaïque, BÂTIMENT, CHÂTEAU, OÙ, PÂQUES, AÇÃO, MÃE, IRMÃ, MANHÃ, ÂMBITO, ÂNGULO, GRÜN, ÄNDERUNG, STRASSE, CAFÉ, naïve, façade, maïs, œuvre, Noël"""
-
-#: Characters put around and between words when training records are made (fixed values).
-MARKS = "– — “ ” ‘ ’ « » … § € º ° · „ ‚ • ² ½ £ ©".split()
-BUCKETS = 1 << 13
+#: Decodings that lose characters (fixed values): the encoding the bytes were in, the one they were read as with replacements.
+LOSSES = {"lost cp1252>utf8": ("cp1252", "utf-8"), "lost utf8>ascii": ("utf-8", "ascii"), "lost cp1252>ascii": ("cp1252", "ascii")}
+NAMES = ["clean", *CHAINS, *LOSSES]
+
+#: Scripts whose letters are clean among themselves, whatever the training records hold, and the weight of a pair.
+SCRIPTS, PRIOR = "Latin Greek Cyrillic Armenian Hebrew Arabic Devanagari Hiragana Katakana Hangul Han".split(), 0.05
+#: Weights of a capital at the start of a word and of a letter inside one, and pairs of each letter with others of its script.
+CAPITAL, INNER, PARTNERS = 0.5, 0.3, 13
+#: Weight of a symbol that stands by itself or beside a letter.
+SYMBOL = 2.0
+#: Places of hashed byte bigrams, and of pairs and triples of characters, of which there are more.
+BUCKETS, CHARACTER_BUCKETS = 1 << 13, 1 << 18
 #: Log-likelihood ratio a passage must reach, and the weight of one unseen feature.
 THRESHOLD, SMOOTHING = 3.5, 0.05
+#: Texts that the classifier is fitted on, about.
+TRAINING_ROWS = 1500
 SPACES = str.maketrans("\n\r\t\f\v", "     ")
 REPLACED = "�"
 
@@ -97,6 +95,15 @@ def garble(text: str, chain: str) -> str | None:
     return text
 
 
+def lose(text: str, loss: str) -> str | None:
+    """``text`` as a decoding with replacements spoils it."""
+    right, wrong = LOSSES[loss]
+    try:
+        return text.encode(right).decode(wrong, "replace")
+    except UnicodeError:
+        return None
+
+
 def invert(text: str, chain: str) -> str | None:
     """The original of a garbled word, or None if it isn't strictly decodable."""
     try:
@@ -122,12 +129,38 @@ def characters(word: str) -> list[int]:
     for i in range(1, len(w)):
         x, y = w[i - 1], w[i]
         if x > "\x7f" or y > "\x7f":
-            out.append((ord(x) * 40503 + ord(y) * 2246822519) % BUCKETS)
+            out.append((ord(x) * 40503 + ord(y) * 2246822519) % CHARACTER_BUCKETS)
         if y > "\x7f" and i + 1 < len(w):
-            out.append((ord(x) * 3266489917 + ord(y) * 668265263 + ord(w[i + 1]) * 374761393 + 97) % BUCKETS)
+            out.append((ord(x) * 3266489917 + ord(y) * 668265263 + ord(w[i + 1]) * 374761393 + 97) % CHARACTER_BUCKETS)
     return out
 
 
+@cache
+def general_counts() -> tuple[np.ndarray, np.ndarray]:
+    """Counts of what is clean in general, by Unicode properties: letters beside others of their script, and symbols by themselves and at words."""
+    counts, plain = np.zeros(BUCKETS), np.zeros(CHARACTER_BUCKETS)
+
+    def add(w: str, n: float) -> None:
+        np.add.at(counts, features(w), n)
+        np.add.at(plain, characters(w), n)
+
+    every = "".join(map(chr, [*range(0x20, 0x700), *range(0x900, 0x980), *range(0x1E00, 0x2300), *range(0x2500, 0x2800), *range(0x3040, 0x3100), *range(0x4E00, 0x4E80), *range(0xAC00, 0xAC80)]))
+    for script in SCRIPTS:
+        letters = regex.findall(rf"[\p{{L}}&&\p{{{script}}}]", every, flags=regex.V1)
+        plain_letters = [c for c in letters if c.isascii() and c.islower()] if script == "Latin" else letters
+        for i, c in enumerate(letters):
+            for k in range(0 if c.isascii() else PARTNERS):
+                d = plain_letters[(i * 7 + k * 5) % len(plain_letters)]
+                add(c + d, CAPITAL if c.isupper() else PRIOR)
+                add(d + c.lower() + plain_letters[(i + k) % len(plain_letters)], INNER)
+    for c in regex.findall(r"[\p{S}\p{P}\p{No}]", every):
+        if not c.isascii():
+            add(c, SYMBOL)
+            for w in (c + "a", "a" + c, c + "A", c + "C", c + "1", "1" + c, "a" + c + ",", "a" + c + "."):
+                add(w, SYMBOL / 5)
+    return counts, plain
+
+
 class ChainClassifier:
     """Multinomial model of the clean class and of each chain, over hashed byte bigrams."""
 
@@ -137,12 +170,27 @@ class ChainClassifier:
 
     @classmethod
     def fit(cls, records: Sequence[str]) -> ChainClassifier:
-        """Fits on ``records``, which are mostly clean; a second fit leaves out what the first found garbled."""
+        """Fits on ``records``, which are mostly clean.
+
+        A second fit leaves out what the first found garbled. It has the words that were restored from more than one
+        chain, so that words which the clean records lack are learned, but not what one chain makes of clean text.
+        """
         first = cls._fit(records)
-        return cls._fit([r for r in records if first.repair(r) is None])
+        clean: list[str] = []
+        ways: dict[str, list[str]] = {}
+        for r in records:
+            hit = first.repair(r)
+            if hit is None:
+                clean.append(r)
+            elif hit[2]:
+                before = set(r.translate(SPACES).split(" "))
+                for w in hit[2].translate(SPACES).split(" "):
+                    if not w.isascii() and w not in before:
+                        ways.setdefault(w, []).append(hit[0])
+        return cls._fit(clean, {w: len(chains) for w, chains in ways.items() if len(set(chains)) > 1})
 
     @classmethod
-    def _fit(cls, records: Sequence[str]) -> ChainClassifier:
+    def _fit(cls, records: Sequence[str], restored: Mapping[str, int] = MappingProxyType({})) -> ChainClassifier:
         weights: dict[str, float] = {}
         for text in records:
             for w in text.translate(SPACES).split(" "):
@@ -152,14 +200,12 @@ class ChainClassifier:
         for w, n in weights.items():  # rare words may be garbled ones that the first fit missed
             if n < 6:
                 weights[w] = 0.2 * n
-        for m in MARKS:
-            for w in (m, m + "a", "a" + m, m + "."):
-                weights[w] = weights.get(w, 0.0) + 0.5
-        for w in FOREIGN.translate(SPACES).split(" "):
-            if w and not w.isascii():
-                weights[w] = weights.get(w, 0.0) + 2.0
+        for w, n in restored.items():
+            weights[w] = weights.get(w, 0.0) + n
         counts = np.full((len(NAMES), BUCKETS), SMOOTHING)
-        plain = np.full(BUCKETS, SMOOTHING)
+        plain = np.full(CHARACTER_BUCKETS, SMOOTHING)
+        counts[0] += general_counts()[0]
+        plain += general_counts()[1]
         for w, n in weights.items():
             np.add.at(counts[0], features(w), n)
             np.add.at(plain, characters(w), n)
@@ -167,8 +213,12 @@ class ChainClassifier:
                 spoiled = garble(w, chain)
                 if spoiled is not None and spoiled != w:
                     np.add.at(counts[k], features(spoiled), n)
+            for k, loss in enumerate(LOSSES, 1 + len(CHAINS)):
+                spoiled = lose(w, loss)
+                if spoiled is not None:
+                    np.add.at(counts[k], features(spoiled), n)
         log = np.log(counts / counts.sum(axis=1, keepdims=True))
-        return cls(log.astype(np.float32), np.log(plain / plain.sum()).astype(np.float32))
+        return cls(log.astype(np.float32), np.log(plain / (plain.sum() - SMOOTHING * (CHARACTER_BUCKETS - BUCKETS))).astype(np.float32))
 
     def score(self, word: str) -> tuple[dict[int, tuple[float, str]], tuple[int, ...]] | None:
         """By chain: evidence and original; and the chains with clear evidence. None: no chain applies.
@@ -187,6 +237,8 @@ class ChainClassifier:
                 continue
             gain = self.plain[characters(original)].sum() - here
             out[k] = (float(min(self.log[k, f].sum() - clean, gain)), original)
+        for k in range(1 + len(CHAINS), len(NAMES)) if REPLACED in word else ():
+            out[k] = (float(self.log[k, f].sum() - clean), word)  # nothing to invert
         return (out, tuple(k for k, (x, _) in out.items() if x > 1)) if out else None
 
     def lookup(self, word: str) -> tuple[dict[int, tuple[float, str]], tuple[int, ...]] | None:
@@ -199,14 +251,17 @@ class ChainClassifier:
             return found
 
     def repair(self, text: str | None) -> tuple[str, bool, str | None] | None:
-        """(chain, whether the original is recovered, the original) of a garbled text; None for a clean one."""
+        """(chains, whether all of the original is recovered, the text with what can be recovered) of a garbled text; None for a clean one.
+
+        Every passage has the chain that explains it best: passages of all chains are taken in the order of their
+        evidence, unless they overlap one taken before.
+        """
         if not text or text.isascii():
             return None
         words = text.translate(SPACES).split(" ")
         odd = [w for w in words if not w.isascii()]
         found = [self.lookup(w) for w in odd]
-        lost = REPLACED in text
-        best: tuple[float, int, list[tuple[int, int]]] = (0.0, 0, [])
+        spans: list[tuple[float, int, int, int]] = []
         for k in {k for x in found if x for k in x[1]}:
             seen: set[str] = set()  # a word's evidence counts once, however often it is repeated
             evidence = []
@@ -214,27 +269,30 @@ class ChainClassifier:
                 mass = x[0][k][0] if x and k in x[0] else None
                 evidence.append(mass if mass is None or mass < 0 or w not in seen else 0.01)
                 seen.add(w)
-            spans = list(passages(evidence))
-            if (total := sum(m for m, _, _ in spans)) > best[0]:
-                best = (total, k, [(a, b) for _, a, b in spans])
-        if not best[1]:
-            return ("lossy", False, None) if lost else None
-        k, inside = best[1], set()
-        for a, b in best[2]:
-            inside.update(range(a, b))
+            spans += [(mass, k, a, b) for mass, a, b in passages(evidence)]
+        if not spans:
+            return None
+        chain: dict[int, int] = {}
+        used: dict[int, float] = {}
+        for mass, k, a, b in sorted(spans, key=lambda s: (-s[0], s[1])):
+            if not any(i in chain for i in range(a, b)):
+                chain.update(dict.fromkeys(range(a, b), k))
+                used[k] = used.get(k, 0.0) + mass
         out, i, pos = [], -1, 0
         for w in words:
             new = w
             if not w.isascii():
                 i += 1
-                if i in inside:
-                    new = found[i][0][k][1]
+                if i in chain:
+                    new = found[i][0][chain[i]][1]
             pos += len(w)
             out.append(new)
             if pos < len(text):
                 out.append(text[pos])
                 pos += 1
-        return NAMES[k], not lost, None if lost else "".join(out)
+        lost = any(k > len(CHAINS) for k in used)
+        restored = "".join(out)
+        return ", ".join(NAMES[k] for k in sorted(used, key=lambda k: -used[k])), not lost, restored if restored != text else None
 
 
 def passages(evidence: list[float | None]) -> Iterator[tuple[float, int, int]]:
@@ -269,13 +327,14 @@ def sample_texts(df: DataFrame, id_col: str, text_col: str, rows: int) -> list[s
     return sorted(r.text for r in picked.limit(2 * rows).collect())
 
 
-def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", training_rows: int = 1500) -> DataFrame:
+def find_garbled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", training_rows: int = TRAINING_ROWS) -> DataFrame:
     """``id_col``, ``chain``, ``recovered`` and ``restored`` of each garbled row of ``df``.
 
     The classifier is fitted on the driver, on about ``training_rows`` (2 x at most) texts of ``df`` chosen by hash and
-    garbled on purpose; every row is then classified. A text that holds U+FFFD is garbled and not recoverable. Null,
-    empty and blank texts and all clean ones give no row; repeated rows each give one; other columns are ignored; an
-    empty table leaves the built-in clean text to train on and gives no rows.
+    garbled on purpose; every row is then classified. ``chain`` names the chains of its passages, the strongest first;
+    passages that lost characters can't be recovered, but ``restored`` has what the other passages said, and is null
+    where nothing can be. Null, empty and blank texts and all clean ones give no row; repeated rows each give one; other
+    columns are ignored; an empty table gives no rows.
     """
     fitted = ChainClassifier.fit(sample_texts(df, id_col, text_col, training_rows))
     log, plain = fitted.log, fitted.plain

@@ -53,5 +53,20 @@ def test_operator(spark):
     got = find_garbled(df).collect()
     assert sorted(r.doc_id for r in got) == [900, 900, 901, 904]
     by = {r.doc_id: r for r in got}
-    assert by[900].restored == CLEAN[0] and by[901].recovered is False and by[901].restored is None and by[904].restored.endswith("però città può")
+    assert by[900].restored == CLEAN[0] and by[901].recovered is False and by[901].chain.startswith("lost") and by[901].restored is None and by[904].restored.endswith("però città può")
     assert find_garbled(df.where("false")).count() == 0
+
+
+def test_every_passage_has_its_own_chain(model):
+    plain = " ".join(["testo semplice senza segni"] * 6)
+    parts = [garble(CLEAN[0], "utf8>cp1252"), garble(CLEAN[2], "utf8>cp437"), "perso � qui �a"]
+    chains, whole, text = model.repair(f" {plain} ".join(parts))
+    assert {"utf8>cp1252", "utf8>cp437"} < set(chains.split(", ")) and not whole and "lost" in chains
+    assert CLEAN[0] in text and CLEAN[2] in text and "�" in text
+
+
+def test_words_that_clean_records_lack_are_learned_from_restored_ones():
+    base = ["The board shall “review” the rules – as set out here."] * 60
+    chains = ["utf8>cp1252", "utf8>cp437", "utf8>mac_roman"]
+    spoiled = [garble("The clause is naïve.", c) for c in chains * 4]
+    assert ChainClassifier.fit(base + spoiled).repair(garble("The clause is naïve.", "cp1252>cp1251"))[0].startswith("cp1252>cp1251")
