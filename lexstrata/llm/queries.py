@@ -102,7 +102,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of each file, with its share of the words, beside the label."""
+    """The language of each file, with the classifier's confidence, beside the label."""
     return _languages(spark, sf_dir)[0]
 
 
