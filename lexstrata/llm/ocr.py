@@ -82,6 +82,9 @@ def _confusions() -> dict[str, set[str]]:
 
 
 READ_AS = _confusions()
+#: Which letter can stand in the place of which, and letters that a confusion can add or drop; other edits explain nothing.
+SWAPS = {(p, r) for printed, reads in READ_AS.items() for read in reads for p in printed for r in read}
+LOOSE = {c for printed, reads in READ_AS.items() for read in reads if len(printed) != len(read) for c in printed + read}
 
 
 def explained(printed: str, read: str, most: int = 4) -> tuple[str, ...] | None:
@@ -137,19 +140,20 @@ class Trie:
             if self.first[node] < self.last[node]:
                 self.most[node] = max(self.most[node], max(self.most[self.first[node] : self.last[node]]))
 
-    def within(self, word: str, distance: int, least: int = 1) -> list[tuple[str, int]]:
+    def within(self, word: str, distance: int, least: int = 1, any_edit: bool = True) -> list[tuple[str, int]]:
         """All vocabulary words of at least ``least`` occurrences within the edit distance of ``word``, with their counts.
 
         The automaton's states are rows of the edit table capped at ``distance`` + 1; transitions are built when first
-        used and shared by all branches of the trie that reach the same state.
+        used and shared by all branches of the trie that reach the same state. Without ``any_edit`` it has only the edits
+        that confusions are made of, so branches that they can't explain end early.
         """
         dead = distance + 1
         start = tuple(min(i, dead) for i in range(len(word) + 1))
         steps: dict[tuple, dict[str, tuple | None]] = {start: {}}
-        known = set(word)
         out: list[tuple[str, int]] = []
         stack = [(0, start, "")]
         letters, first, last, counts, most = self.letters, self.first, self.last, self.counts, self.most
+        added = [1 if any_edit or w in LOOSE else dead for w in word]
         while stack:
             node, state, prefix = stack.pop()
             own = steps[state]
@@ -157,15 +161,16 @@ class Trie:
                 if most[child] < least:
                     continue
                 c = letters[child]
-                seen = c if c in known else "\0"  # letters that the word lacks act alike
-                if seen in own:
-                    nxt = own[seen]
+                if c in own:
+                    nxt = own[c]
                 else:
-                    row = [min(state[0] + 1, dead)]
+                    dropped = 1 if any_edit or c in LOOSE else dead
+                    row = [min(state[0] + dropped, dead)]
                     for i, w in enumerate(word):
-                        row.append(min(state[i + 1] + 1, row[i] + 1, state[i] + (w != c), dead))
+                        swapped = 0 if w == c else 1 if any_edit or (c, w) in SWAPS else dead
+                        row.append(min(state[i + 1] + dropped, row[i] + added[i], state[i] + swapped, dead))
                     nxt = tuple(row) if min(row) <= distance else None
-                    own[seen] = nxt
+                    own[c] = nxt
                     if nxt is not None:
                         steps.setdefault(nxt, {})
                 if nxt is not None:
@@ -260,7 +265,7 @@ def candidates(counts: DataFrame) -> DataFrame:
             low = word.lower()
             marks = sum(not c.isalpha() for c in low)
             least = MARKED_LEAST if marks else n * SHORT_RATIO.get(len(low), RATIO)
-            for good, m in trie.within(low, max(1 if len(low) < 4 else DISTANCE, min(marks, 3)), least):
+            for good, m in trie.within(low, max(1 if len(low) < 4 else DISTANCE, min(marks, 3)), least, any_edit=False):
                 if good != low and (ways := explained(good, low)):
                     out.append((word, good, m, ways))
         columns = list(zip(*out)) if out else [()] * 4

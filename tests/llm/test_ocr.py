@@ -29,6 +29,16 @@ def test_trie_retrieves_all_candidates():
             assert sorted(trie.within(q, k)) == sorted((w, n) for w, n in words.items() if distance(w, q) <= k)
 
 
+def test_edits_of_confusions_lose_no_candidate():
+    rng = random.Random(2)
+    words = {"".join(rng.choice("rnmcldeohiu") for _ in range(rng.randint(2, 7))): rng.randint(1, 20) for _ in range(600)}
+    trie = Trie(words)
+    for _ in range(80):
+        q = "".join(rng.choice("rnmcldeoh10") for _ in range(rng.randint(2, 7)))
+        every = {(w, n) for w, n in words.items() if n >= 5 and distance(w, q) <= 2 and explained(w, q)}
+        assert every == {(w, n) for w, n in trie.within(q, 2, 5, any_edit=False) if explained(w, q)}
+
+
 def test_confusions():
     assert explained("solidarity", "soliclarity") == ("d~cl",) and explained("giorni", "giomi") == ("rn~m",) and explained("qualità", "qua1i+à") == ("l~1", "t~+")
     assert explained("medico", "medica") is None and explained("casa", "casa") == ()
