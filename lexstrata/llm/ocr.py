@@ -57,7 +57,6 @@ LONG_WORD = re.compile(r"[^\W\d_]{2}")
 TOKEN = re.compile(rf"[\w{re.escape(SYMBOLS)}]+")
 COMPOUND = re.compile(rf"[\w{re.escape(SYMBOLS)}]+(?:[-‐][\w{re.escape(SYMBOLS)}]+)*")
 BROKEN = re.compile(rf"[{HYPHENS}][ \t]*\r?\n")
-MARKS = re.compile(r"[@!+|$0-9]+")
 HEAD_NUMBER = re.compile(r"\W*(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)(?:\s*[–—|·\-]\s*|\s+)(?=\D)", re.I)
 TAIL_NUMBER = re.compile(r"(?:\s*[–—|·\-]\s*|\s+)(?:(?:page|pag|seite|página|p|s)\b\.?\s*)?(\d+)\W*$", re.I)
 CODE = re.compile(r"[A-Z0-9]+|[A-Z]{1,3}\d+[a-z]?|\d+(?:st|nd|rd|th|er|ère|e|a|o|ª|º|bis|ter)?")
@@ -195,16 +194,6 @@ def joined_lines(text: str) -> str:
     return AT_END.sub(" ", text) if text.rstrip()[-1:] in HYPHENS else text
 
 
-def marked(text: str) -> bool:
-    """Whether a mark or digit stands beside a small letter or an O."""
-    for m in MARKS.finditer(text):
-        a, b = m.span()
-        left, right = text[a - 1 : a], text[b : b + 1]
-        if left.islower() or right.islower() or left == "O" or right == "O":
-            return True
-    return False
-
-
 def odd(token: str) -> bool:
     """Whether a token holds a mark or digit that may stand for a letter."""
     core = token.rstrip("!")
@@ -253,7 +242,7 @@ def candidates(counts: DataFrame) -> DataFrame:
     vocabulary = counts.where(F.col("word").rlike(r"^[\p{L}\-‐]+$") & (F.col("n") >= MARKED_LEAST) & (F.length("word") >= 2))
     lookups = counts.where((F.length("word") >= 2) & ~F.col("word").contains("-")).select("word", "n")
     blocks, words = vocabulary.count(), lookups.count()
-    parts, salts = max(1, -(-blocks // VOCABULARY_BLOCK)), max(2 * counts.sparkSession.sparkContext.defaultParallelism, -(-words // LOOKUP_BLOCK))
+    parts, salts = max(1, -(-blocks // VOCABULARY_BLOCK)), max(counts.sparkSession.sparkContext.defaultParallelism, -(-words // LOOKUP_BLOCK))
     part, salt = F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int"), F.pmod(F.xxhash64("word"), F.lit(salts)).cast("int")
     left = vocabulary.select("word", "n", part.alias("part"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     right = lookups.select("word", "n", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), salt.alias("salt"))
@@ -367,15 +356,15 @@ def page_value(text: str) -> tuple[int, bool] | None:
     return total, True
 
 
-def header_key(text: str, page: int | None) -> tuple[int, bool] | None:
+def header_key(text: str, page: int | None, headed: bool) -> tuple[int, bool] | None:
     """(hash of the folded text without a page number at its ends, whether it is written like a sentence); None for headings and texts of few letters."""
-    if HEADING.match(text):
+    if headed:
         return None
     start, end = 0, len(text)
     if page is not None:
-        if (m := HEAD_NUMBER.match(text)) and int(m[1][:9]) == page:
+        if any(map(str.isdigit, text[:16])) and (m := HEAD_NUMBER.match(text)) and int(m[1][:9]) == page:
             start = m.end()
-        if (m := TAIL_NUMBER.search(text, max(start, end - 60))) and int(m[1][:9]) == page:
+        if any(map(str.isdigit, text[-8:])) and (m := TAIL_NUMBER.search(text, max(start, end - 60))) and int(m[1][:9]) == page:
             end = m.start()
     key = fold(text[start:end])
     if len(key) - key.count(b"3") < 6:
@@ -403,12 +392,13 @@ def features(blocks: DataFrame, bits: bytes) -> DataFrame:
         flat = normal.strip()
         raw = text.rstrip()
         number = page_value(flat)
-        key = header_key(flat, page) if number is None else None
+        headed = bool(HEADING.match(flat))
+        key = header_key(flat, page, headed) if number is None else None
         end = AT_END.search(raw[-80:]) if raw[-1:] in HYPHENS else None
         close = raw[-80:].rstrip("»”\"’')] \n")
         opens = bool(close) and (close[-1] not in ".;:!?…" or bool(OPEN_ABBREVIATION.search(close)))
         short = len(flat) < 120
-        heading = short and bool(HEADING.match(flat))
+        heading = short and headed
         long_words = sum(len(w) >= 2 for w in PLAIN.findall(flat)) if short else bool(LONG_WORD.search(flat))
         cell = (long_words < 3 and short and any(c.isdigit() for c in flat)) or not long_words
         starts = 0 if heading or MARKER.match(flat[:12]) else 1 if flat[:1].islower() else 2
@@ -420,7 +410,7 @@ def features(blocks: DataFrame, bits: bytes) -> DataFrame:
         whole = joined_lines(text)
         found = set(TOKEN.findall(normal if whole == text else form(whole)))
         suspects = sorted({w for t in found if (w := suspect(t))})
-        misread = marked(flat) and any(map(NUMERAL.fullmatch, found))
+        misread = bool(NUMERAL_INSIDE.search(flat)) and any(map(NUMERAL.fullmatch, found))
         first = PLAIN.match(flat)
         return (*(number or (None, None)), *(key or (None, None)), opens, end[1] if end else None, end[2] if end else None, first and first[0], starts, cell, heading, soft, pairs, misread, suspects)
 
