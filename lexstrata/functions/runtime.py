@@ -61,7 +61,7 @@ def ship_package(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parents[1]
     path = os.path.join(tempfile.mkdtemp(prefix="lexstrata-"), "lexstrata_package.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
+        for f in sorted([*root.rglob("*.py"), *root.rglob("*.json")]):
             z.write(f, str(Path(root.name) / f.relative_to(root)))
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexstrata.functions import profiles as P
+from lexstrata.functions.runtime import written
 from lexstrata.functions.text import eid_token, uri_token
 
 #: Prefixes of element ids (fixed values).
@@ -28,7 +29,7 @@ def act_type(incipit: Column, profile: Column) -> Column:
     def one(p: P.Profile) -> Column:
         if not p.act_types:
             return F.lit(None).cast("struct<subtype:string,country:string,number:string,author:string>")
-        rules = [F.when(P.matches(incipit, pattern), F.struct(F.lit(name).alias("subtype"), F.lit(country).alias("country"), F.nullif(F.trim(F.regexp_extract(incipit, P.FLAGS + pattern, 1)), F.lit("")).alias("number"), F.nullif(F.lit(author), F.lit("")).alias("author"))) for name, country, pattern, _, author in p.act_types]
+        rules = [F.when(P.matches(incipit, pattern), F.struct(F.lit(name).alias("subtype"), F.lit(country).alias("country"), F.nullif(F.trim(F.regexp_extract(incipit, P.FLAGS + pattern, 1)), F.lit("")).alias("number"), F.nullif(F.lit(author), F.lit("")).alias("author"))) for name, country, pattern, author in p.act_types]
         return F.coalesce(*rules)
 
     return P.by_profile(profile, one)
@@ -51,7 +52,7 @@ def element_ids(nodes: DataFrame, depth: int = 5) -> DataFrame:
     prefix = F.coalesce(*(F.when(F.col("label") == k, v) for k, v in PREFIX.items()), F.lit("hcontainer"))
     siblings = Window.partitionBy("file", "parent_seq").orderBy("seq")
     token = F.coalesce(F.nullif(eid_token(F.col("number")), F.lit("")), F.row_number().over(siblings).cast("string"))
-    local = nodes.withColumn("_local", F.concat(prefix, F.lit("_"), token))
+    local = written(nodes.withColumn("_local", F.concat(prefix, F.lit("_"), token)), "local")  # read once for each depth
     done, waiting = None, local.withColumn("_parent_eid", F.lit(None).cast("string")).where("parent_seq is null")
     for _ in range(depth):
         base = F.when(F.col("_parent_eid").isNull(), F.col("_local")).otherwise(F.concat("_parent_eid", F.lit("__"), "_local"))

@@ -16,8 +16,9 @@ from lexstrata.operators import manifest as M
 from lexstrata.operators import records as R
 from lexstrata.operators import sampling
 from lexstrata.operators import structure as S
+from lexstrata.operators import tree as TR
 from lexstrata.operators.order import positions
-from lexstrata.plans.structure import BLOCKS, NODES, ORDERED, query
+from lexstrata.plans.structure import BLOCKS, DECIDED, ORDERED, TREE, decisions, query
 from lexstrata.sources.blocks import delivered_blocks
 
 
@@ -132,7 +133,7 @@ def frbr_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _eids_sql() -> str:
     prefix = "CASE label " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in E.PREFIX.items()) + " ELSE 'hcontainer' END"
-    out = [f"{NODES}, locals AS (SELECT *, {prefix} || '_' || coalesce(nullif({X.eid_token_sql('number')}, ''), (row_number() OVER (PARTITION BY file, parent_seq ORDER BY seq))::VARCHAR) AS local FROM nodes)"]
+    out = [f"{TREE}, locals AS (SELECT *, {prefix} || '_' || coalesce(nullif({X.eid_token_sql('number')}, ''), (row_number() OVER (PARTITION BY file, parent_seq ORDER BY seq))::VARCHAR) AS local FROM nodes)"]
     for k in range(1, 6):
         source = "SELECT *, local AS base FROM locals WHERE parent_seq IS NULL" if k == 1 else f"SELECT l.*, p.eid || '__' || l.local AS base FROM locals l JOIN e{k - 1} p ON p.file = l.file AND p.seq = l.parent_seq"
         out.append(f"e{k} AS (SELECT file, block_id, seq, label, CASE WHEN row_number() OVER b > 1 THEN base || '_' || row_number() OVER b ELSE base END AS eid FROM ({source}) WINDOW b AS (PARTITION BY file, base ORDER BY seq))")
@@ -140,16 +141,16 @@ def _eids_sql() -> str:
 
 
 def _eids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.element_ids(S.parents(S.prepared(delivered_blocks(spark, sf_dir))))
+    return E.element_ids(TR.tree(decisions(spark, sf_dir))[0])
 
 
-@query(f"WITH {_eids_sql()} SELECT file, block_id, seq, label, eid FROM eids")
+@query(f"WITH RECURSIVE {_eids_sql()} SELECT file, block_id, seq, label, eid FROM eids")
 def eids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Element id of each structural block."""
     return _eids(spark, sf_dir).select("file", "block_id", "seq", "label", "eid")
 
 
-@query(f"WITH {_eids_sql()}, per AS (SELECT file, eid, count(*) AS n FROM eids GROUP BY ALL) SELECT file, sum(n)::BIGINT AS elements, count(eid) AS eids, count(*) FILTER (n > 1) AS repeated, count(*) FILTER (n > 1) = 0 AS valid FROM per GROUP BY file")
+@query(f"WITH RECURSIVE {_eids_sql()}, per AS (SELECT file, eid, count(*) AS n FROM eids GROUP BY ALL) SELECT file, sum(n)::BIGINT AS elements, count(eid) AS eids, count(*) FILTER (n > 1) AS repeated, count(*) FILTER (n > 1) = 0 AS valid FROM per GROUP BY file")
 def akn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements and repeated ids of each file."""
     return E.check_ids(_eids(spark, sf_dir))
@@ -158,19 +159,19 @@ def akn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def akn_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The legislative XML of each file."""
-    rows = S.prepared(delivered_blocks(spark, sf_dir)).where("label <> 'noise'")
-    ids = E.element_ids(S.parents(rows)).select("file", "seq", "level", "eid")
+    nodes, contents = TR.tree(decisions(spark, sf_dir))
+    ids = E.element_ids(nodes)
     profile = F.when(F.col("profile") == "en", "en").otherwise("it")
     uri = E.work_uri(F.lit(None).cast("string"), F.lit("act"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("file"))
-    joined = rows.join(ids, ["file", "seq"], "left")
-    return E.akn_xml(joined.select("file", uri.alias("uri"), E.language3(profile).alias("language"), "seq", "level", "label", "number", "rubric", "eid", "testo"))
+    every = ids.select("file", "profile", "seq", "level", "label", "number", "rubric", "eid", "testo").unionByName(contents.select("file", "profile", "seq", F.lit(None).cast("int").alias("level"), "label", F.lit(None).cast("string").alias("number"), F.lit(None).cast("string").alias("rubric"), F.lit(None).cast("string").alias("eid"), "testo"))
+    return E.akn_xml(every.select("file", uri.alias("uri"), E.language3(profile).alias("language"), "seq", "level", "label", "number", "rubric", "eid", "testo"))
 
 
 @query()
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retrieval chunks of the contents of each node."""
     confidence = _merged(spark, sf_dir).groupBy("block_id").agg(F.max("label_confidence").alias("label_confidence"))
-    owned = S.owners(S.prepared(delivered_blocks(spark, sf_dir))).join(confidence, "block_id", "left")
+    owned = TR.tree(decisions(spark, sf_dir))[1].join(confidence, "block_id", "left")
     return C.chunks(owned.select("file", "owner_seq", "seq", "label", "testo", "label_confidence"))
 
 
@@ -182,27 +183,21 @@ def recital_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbers.select("file", "numbers", C.accepted_recitals(F.col("numbers")).alias("accepted"))
 
 
-TITLES = ("heading", "paragraph_title", "section_header", "doc_title")
-
-
-@query(f"""WITH {ORDERED}, n AS (SELECT *, {X.count_words_sql('norm')} AS words FROM ordered), p AS (SELECT a.*, b.seq AS next_seq, b.block_id AS article_id, b.number AS article_number, b.structural AS next_label, b.rubric AS next_rubric FROM n a JOIN n b ON b.file = a.file AND b.seq = a.seq + 1)
-SELECT file, block_id AS rubric_id, article_id, article_number FROM p WHERE structural IS NULL AND sure IS NULL AND lower(coalesce(block_type, '')) IN {TITLES} AND words BETWEEN 1 AND 24 AND next_label = 'article' AND next_rubric IS NULL""")
+@query(f"WITH RECURSIVE {DECIDED} SELECT p.file, t.block_id AS rubric_id, a.block_id AS article_id, a.number AS article_number FROM pairs p JOIN ordered t ON t.file = p.file AND t.seq = p.rubric_seq JOIN ordered a ON a.file = p.file AND a.seq = p.article_seq")
 def rubric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Title-like blocks right before an article without a rubric."""
+    """Titles before an article without a rubric, in profiles that put them there."""
     rows = S.prepared(delivered_blocks(spark, sf_dir))
-    following = rows.where("structural = 'article' and rubric is null").select("file", (F.col("seq") - 1).alias("seq"), F.col("block_id").alias("article_id"), F.col("number").alias("article_number"))
-    titles = rows.where(F.col("structural").isNull() & F.col("sure").isNull() & F.lower(F.coalesce("block_type", F.lit(""))).isin(*TITLES) & X.count_words(F.col("norm")).between(1, 24))
-    return titles.join(following, ["file", "seq"]).select("file", F.col("block_id").alias("rubric_id"), "article_id", "article_number")
+    ids = rows.select("file", "seq", "block_id", "number")
+    pairs = TR.rubric_pairs(rows).join(ids.select("file", F.col("seq").alias("rubric_seq"), F.col("block_id").alias("rubric_id")), ["file", "rubric_seq"])
+    return pairs.join(ids.select("file", F.col("seq").alias("article_seq"), F.col("block_id").alias("article_id"), F.col("number").alias("article_number")), ["file", "article_seq"]).select("file", "rubric_id", "article_id", "article_number")
 
 
-@query(f"""WITH {ORDERED}, kept AS (SELECT * FROM ordered WHERE label <> 'noise')
-SELECT c.file, a.block_id AS article_id, c.block_id AS rubric_id FROM ordered a JOIN ordered c ON c.file = a.file AND c.seq = a.seq + 1 WHERE a.label = 'article' AND a.rubric IS NULL AND c.label = 'content' AND {X.count_words_sql('c.norm')} <= 30""")
+@query(f"WITH RECURSIVE {TREE} SELECT c.file, a.block_id AS article_id, c.block_id AS rubric_id FROM hung c JOIN hung a ON a.file = c.file AND a.seq = c.absorbed")
 def rubric_absorbed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short contents right after an article without a rubric: they are its rubric."""
-    rows = S.prepared(delivered_blocks(spark, sf_dir))
-    articles = rows.where("label = 'article' and rubric is null").select("file", (F.col("seq") + 1).alias("seq"), F.col("block_id").alias("article_id"))
-    contents = rows.where((F.col("label") == "content") & (X.count_words(F.col("norm")) <= 30))
-    return contents.join(articles, ["file", "seq"]).select("file", "article_id", F.col("block_id").alias("rubric_id"))
+    rows = TR.kept(decisions(spark, sf_dir))
+    articles = rows.select("file", F.col("seq").alias("absorbed"), F.col("block_id").alias("article_id"))
+    return rows.where("absorbed is not null").select("file", "absorbed", F.col("block_id").alias("rubric_id")).join(articles, ["file", "absorbed"]).select("file", "article_id", "rubric_id")
 
 
 HEAD, SPREAD, PAGES = 40, 60, 5
@@ -242,8 +237,7 @@ def page_sample_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _markers(p: P.Profile) -> str:
-    names = "Parte|Titolo|Capo|Sezione|Allegato|Articolo|Art[.]?" if p.code == "it" else "Part|Title|Chapter|Subpart|Schedule|Annex|Appendix|Section|Article"
-    return f"(?iU)(?=\\b(?:{names})\\s+(?:[IVXLCDM]+\\b|\\d))"
+    return f"{P.FLAGS}(?={p.markers})"
 
 
 @query()

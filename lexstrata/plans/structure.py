@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lexstrata.functions import profiles as P
 from lexstrata.functions import text as X
-from lexstrata.functions.runtime import read_table
+from lexstrata.functions.runtime import read_table, written
 from lexstrata.operators import structure as S
+from lexstrata.operators import tree as TR
+from lexstrata.operators.records import MERGE_PRIORITY, merge_unique
 from lexstrata.operators.order import positions
 from lexstrata.sources.blocks import count_blocks, delivered_blocks
 
@@ -20,9 +22,6 @@ LABELLED = f"""{BLOCKS}, normed AS (SELECT *, {X.matching_text_sql('testo')} AS
 labelled AS (SELECT *, {P.deterministic_label_sql('norm', 'profile', 'structural', 'recovered_extra_candidate', True)} AS sure, {P.deterministic_label_sql('norm', 'profile', 'structural', 'recovered_extra_candidate', False)} AS reason, {P.structural_number_sql('norm', 'profile', 'structural')} AS number, CASE WHEN structural = 'article' THEN {P.article_rubric_sql('norm', 'profile')} END AS rubric FROM headed)"""
 ORDERED = f"""{LABELLED}, ordered AS (SELECT *, coalesce(sure, 'content') AS label, coalesce(structural <> 'recital', false) AS is_heading, row_number() OVER (PARTITION BY file ORDER BY page NULLS LAST, page_order NULLS LAST, ordine, block_id) - 1 AS seq FROM labelled)"""
 LEVEL = "CASE label " + " ".join(f"WHEN '{k}' THEN {n}" for k, n in S.CONTAINERS.items()) + " END"
-NODES = f"""{ORDERED}, leveled AS (SELECT *, {LEVEL} AS level FROM ordered), marks AS (SELECT *, {', '.join(f"max(CASE WHEN level = {k} THEN seq END) OVER w AS last_{k}" for k in range(1, 6))} FROM leveled WHERE level IS NOT NULL WINDOW w AS (PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-nodes AS (SELECT *, nullif(CASE level WHEN 1 THEN -1 WHEN 2 THEN coalesce(last_1, -1) WHEN 3 THEN greatest(coalesce(last_1, -1), coalesce(last_2, -1)) WHEN 4 THEN greatest(coalesce(last_1, -1), coalesce(last_2, -1), coalesce(last_3, -1)) WHEN 5 THEN greatest(coalesce(last_1, -1), coalesce(last_2, -1), coalesce(last_3, -1), coalesce(last_4, -1)) END, -1) AS parent_seq FROM marks)"""
-OWNED = f"""{ORDERED}, owned AS (SELECT *, max(CASE WHEN {LEVEL} IS NOT NULL THEN seq END) OVER (PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS owner_seq FROM ordered)"""
 HEADINGS = f"""{ORDERED}, pages AS (SELECT file, page, count(*) AS blocks, count(*) FILTER (is_heading) AS headings FROM ordered WHERE page IS NOT NULL GROUP BY ALL),
 contents AS (SELECT *, headings >= {S.CONTENTS_HEADINGS} AND headings / blocks >= {S.CONTENTS_SHARE} AS contents_page FROM pages),
 heads AS (SELECT *, coalesce(lead(seq) OVER (PARTITION BY file ORDER BY seq), total) - seq - 1 AS body FROM (SELECT *, count(*) OVER (PARTITION BY file) AS total FROM ordered) WHERE is_heading),
@@ -32,6 +31,61 @@ nth AS (SELECT *, row_number() OVER (PARTITION BY file, norm ORDER BY contents_p
 flagged AS (SELECT *, contents_page OR (running_header AND nth > 1) OR bodiless AS suppressed, min(CASE WHEN title_like THEN seq END) OVER (PARTITION BY file, label, key) AS canonical FROM nth),
 heading_flags AS (SELECT *, NOT suppressed AND NOT title_like AND canonical IS NOT NULL AND seq > canonical AS downgraded FROM flagged)"""
 
+_IN = ", ".join
+_QUOTED = lambda words: _IN(f"'{w}'" for w in words)
+_SAYS = lambda attribute: f"coalesce({_either_sql(attribute, 'norm')}, false)"
+
+
+def _either_sql(attribute: str, text: str) -> str:
+    return P.by_profile_sql("profile", lambda p: f"regexp_matches({text}, {X.lit_sql('(?i)' + getattr(p, attribute))})")
+
+
+def _decided_sql() -> str:
+    """The decisions of ``operators.tree.decided`` as SQL, with windows over whole files and a recursive walk over recital numbers."""
+    words = f"list_filter(string_split_regex(trim(regexp_replace(testo, '{X.WS}+', ' ', 'g'), ' '), ' '), lambda x: x <> '')"
+    c = P.PROFILES["en"].convention("foreign")
+    marked = f"list_filter({words}, lambda x: NOT regexp_matches(x, '^\\p{{Lu}}') AND regexp_matches(x, {X.lit_sql('(?i)' + P.PROFILES['en'].foreign)}))"
+    foreign = f"coalesce(profile = 'en' AND len({words}) >= {c['least_words']} AND len({marked}) / greatest(len({words}), 1) >= {c['share']}, false)"
+    count = X.count_words_sql("norm")
+    note = f"coalesce(lower(coalesce(block_type, '')) LIKE '%footnote%' OR lower(coalesce(document_zone, '')) IN ({_QUOTED(TR.NOTE_ZONES)}) OR (regexp_matches(norm, '^[(][0-9]+[)] +') AND {_either_sql('citation', 'norm')} AND {count} <= {TR.NOTE_WORDS}), false)"
+    until = "(PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = "(PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    last = lambda name, condition, over: f"max(CASE WHEN {condition} THEN seq END) OVER {over} AS {name}"
+    rubric_profiles = _QUOTED(code for code, p in P.PROFILES.items() if p.convention("rubric") == "before")
+    status = f"CASE review_status {' '.join(f"WHEN '{k}' THEN {n}" for k, n in MERGE_PRIORITY.items())} ELSE 0 END"
+    return f"""{HEADINGS}, recs AS (SELECT block_id, etichetta, review_status FROM classificazione_blocchi QUALIFY row_number() OVER (PARTITION BY block_id ORDER BY {status} DESC, ingested_at DESC NULLS LAST, classified_at DESC NULLS LAST, review_id DESC NULLS LAST, etichetta NULLS FIRST) = 1),
+d1 AS (SELECT o.* EXCLUDE (label, reason), coalesce(h.suppressed, false) AS suppressed, coalesce(h.downgraded, false) AS downgraded, r.review_status, coalesce(nullif(lower(trim(r.etichetta, ' ')), ''), o.sure, 'content') AS own FROM ordered o LEFT JOIN heading_flags h ON h.file = o.file AND h.seq = o.seq LEFT JOIN recs r ON r.block_id = o.block_id),
+d2 AS (SELECT *, own = 'unresolved' OR coalesce(review_status IN ({_QUOTED(TR.BLOCKING)}), false) AS blocked, {foreign} AS is_foreign, {note} AS note, {P.by_profile_sql('profile', lambda p: P.editorial_note_sql('norm', p))} AS editorial, {_SAYS('preamble')} AS says_preamble, coalesce(structural = 'part' AND {count} <= {TR.LOCAL_WORDS}, false) AS local_part FROM d1),
+d3 AS (SELECT *, norm <> '' AND NOT blocked AND NOT is_foreign AS live FROM d2),
+d4 AS (SELECT *, live AND {_SAYS('recital_start')} AS starts, live AND {_SAYS('device_start')} AS enacts FROM d3),
+d5 AS (SELECT *, {last('section', 'starts', until)}, {last('last_device', 'enacts', until)}, {last('last_article', "live AND NOT suppressed AND structural = 'article'", before)}, {last('last_annex', "live AND NOT suppressed AND structural = 'annex'", before)}, {last('last_part', "live AND NOT suppressed AND structural = 'part' AND NOT local_part", before)} FROM d4),
+d6 AS (SELECT *, coalesce(section > coalesce(last_device, -1), false) AS in_recitals, live AND (own = 'recital' OR coalesce(structural = 'recital', false)) AND NOT starts AND NOT enacts AS candidate FROM d5),
+numbers AS (SELECT file, section, seq, TRY_CAST(number AS DOUBLE) AS n, row_number() OVER (PARTITION BY file, section ORDER BY seq) AS k FROM d6 WHERE candidate AND in_recitals AND last_article IS NULL AND NOT note AND TRY_CAST(number AS DOUBLE) IS NOT NULL),
+walk AS (SELECT file, section, seq, k, n = 1 AS fits, CASE WHEN n = 1 THEN n END AS at FROM numbers WHERE k = 1 UNION ALL SELECT m.file, m.section, m.seq, m.k, CASE WHEN w.at IS NULL THEN m.n = 1 ELSE m.n BETWEEN w.at AND w.at + {S.RECITAL_STEP} END, CASE WHEN (CASE WHEN w.at IS NULL THEN m.n = 1 ELSE m.n BETWEEN w.at AND w.at + {S.RECITAL_STEP} END) THEN m.n ELSE w.at END FROM walk w JOIN numbers m ON m.file = w.file AND m.section = w.section AND m.k = w.k + 1),
+near AS (SELECT a.file, a.seq AS article_seq, t.seq AS rubric_seq, t.norm AS title, t.structural IS NULL AND t.sure IS NULL AND lower(coalesce(t.block_type, '')) IN ({_QUOTED(TR.TITLE_TYPES)}) AND {X.count_words_sql('t.norm')} BETWEEN 1 AND {P.PROFILES['en'].convention('rubric_words')} AS titled FROM ordered a JOIN ordered t ON t.file = a.file AND t.seq BETWEEN a.seq - 3 AND a.seq - 1 AND t.norm <> '' WHERE a.structural = 'article' AND a.rubric IS NULL AND a.profile IN ({rubric_profiles}) QUALIFY row_number() OVER (PARTITION BY a.file, a.seq ORDER BY t.seq DESC) = 1),
+pairs AS (SELECT * FROM near WHERE titled),
+d7 AS (SELECT d.*, coalesce(w.fits, false) AS accepted, c.rubric_seq IS NOT NULL AS consumed, f.title FROM d6 d LEFT JOIN walk w ON w.file = d.file AND w.seq = d.seq LEFT JOIN pairs c ON c.file = d.file AND c.rubric_seq = d.seq LEFT JOIN pairs f ON f.file = d.file AND f.article_seq = d.seq),
+d8 AS (SELECT *, CASE WHEN starts THEN 'content' WHEN accepted THEN 'recital' WHEN candidate THEN CASE WHEN note THEN 'noise' ELSE 'content' END WHEN says_preamble THEN 'content' WHEN title IS NOT NULL THEN 'article' ELSE own END AS one FROM d7),
+d9 AS (SELECT *, CASE WHEN structural IS NOT NULL AND NOT (structural = 'recital' AND last_article IS NOT NULL) AND NOT accepted AND NOT says_preamble AND NOT starts_with(norm, '<') THEN structural ELSE one END AS two FROM d8),
+d10 AS (SELECT *, CASE WHEN two = 'part' AND local_part AND coalesce(last_annex > coalesce(last_part, -1), false) THEN 'part_of_annex' WHEN editorial THEN 'editorial_note' WHEN two NOT IN ({_QUOTED([*P.LEVELS, *P.CONTENT_LABELS])}) THEN 'unknown_label' WHEN two = 'article' AND structural IS DISTINCT FROM two AND title IS NULL THEN 'no_header_for_article' WHEN two IN ({_QUOTED(c for c in S.CONTAINERS if c != 'article')}) AND structural IS DISTINCT FROM two THEN 'no_header_for_' || two WHEN two IN ({_QUOTED(S.CONTAINERS)}) AND coalesce(recovered_extra_candidate, false) AND review_status IS DISTINCT FROM 'llm_reviewed' THEN 'recovered' WHEN downgraded THEN 'goes_on' END AS why FROM d9),
+d11 AS (SELECT *, CASE WHEN norm = '' THEN 'empty' WHEN blocked THEN 'review_missing' WHEN is_foreign THEN 'foreign' WHEN consumed THEN 'rubric' WHEN suppressed THEN 'suppressed' END AS gone, CASE WHEN why IS NOT NULL THEN 'content' ELSE two END AS label FROM d10),
+decided AS (SELECT * REPLACE (coalesce(rubric, title) AS rubric), CASE WHEN gone IS NULL AND label <> 'noise' THEN label END AS decision, coalesce(gone, CASE WHEN label = 'noise' THEN 'noise' END, CASE WHEN label <> own THEN coalesce(why, CASE WHEN two <> one THEN 'header' END, CASE WHEN candidate THEN CASE WHEN accepted THEN 'recital' ELSE 'not_validated' END END, CASE WHEN title IS NOT NULL THEN 'rubric_before' END, 'preamble') END) AS reason FROM d11)"""
+
+
+def _tree_sql() -> str:
+    """Nodes and owned contents of ``operators.tree.tree`` as SQL."""
+    last = lambda name, condition: f"max(CASE WHEN {condition} THEN seq END) OVER w AS {name}"
+    lasts = _IN(last(f"last_{k}", f"level = {k}") for k in range(1, 6))
+    return f"""{_decided_sql()}, leveled AS (SELECT * EXCLUDE (label), decision AS label, {LEVEL.replace('CASE label', 'CASE decision')} AS level FROM decided WHERE decision IS NOT NULL),
+marks AS (SELECT *, {lasts}, {last('last_recital', "label = 'recital'")}, {last('last_bare', "label = 'article' AND rubric IS NULL")}, {last('last_any', 'true')} FROM leveled WINDOW w AS (PARTITION BY file ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+opened AS (SELECT *, greatest(coalesce(last_1, -1), coalesce(last_2, -1), coalesce(last_3, -1), coalesce(last_4, -1), coalesce(last_5, -1)) AS container FROM marks),
+hung AS (SELECT *, CASE WHEN level IS NULL AND label <> 'recital' THEN nullif(CASE WHEN in_recitals AND last_recital > container AND last_recital > coalesce(last_device, -1) THEN last_recital ELSE container END, -1) END AS owner_seq, CASE WHEN label = 'content' AND last_bare = last_any AND structural IS NULL AND {X.count_words_sql('norm')} <= {TR.RUBRIC_WORDS} THEN last_bare END AS absorbed FROM opened),
+nodes AS (SELECT h.* EXCLUDE (level, rubric), coalesce(h.level, 1) AS level, coalesce(h.rubric, r.norm) AS rubric, nullif(CASE h.level WHEN 1 THEN -1 WHEN 2 THEN coalesce(h.last_1, -1) WHEN 3 THEN greatest(coalesce(h.last_1, -1), coalesce(h.last_2, -1)) WHEN 4 THEN greatest(coalesce(h.last_1, -1), coalesce(h.last_2, -1), coalesce(h.last_3, -1)) WHEN 5 THEN greatest(coalesce(h.last_1, -1), coalesce(h.last_2, -1), coalesce(h.last_3, -1), coalesce(h.last_4, -1)) END, -1) AS parent_seq FROM hung h LEFT JOIN hung r ON r.file = h.file AND r.absorbed = h.seq WHERE h.level IS NOT NULL OR h.label = 'recital'),
+owned AS (SELECT * FROM hung WHERE level IS NULL AND label <> 'recital' AND absorbed IS NULL)"""
+
+
+DECIDED, TREE = _decided_sql(), _tree_sql()
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -53,6 +107,23 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.prepared(delivered_blocks(spark, sf_dir))
 
 
+#: Columns of prepared blocks that the tree needs.
+TREE_COLUMNS = ("file", "block_id", "ordine", "page", "page_order", "_page", "seq", "testo", "norm", "profile", "structural", "sure", "number", "rubric", "is_heading", "label", "block_type", "document_zone", "recovered_extra_candidate")
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decisions over the delivered blocks and their records; read by all queries of the tree, so written once."""
+    records = merge_unique(read_table(spark, sf_dir, "classificazione_blocchi"), identity=("block_id",)).select("block_id", "etichetta", "review_status")
+    rows = written(_prepared(spark, sf_dir).select(*TREE_COLUMNS).join(records, "block_id", "left"), "prepared")
+    return written(TR.decided(rows), "decisions")
+
+
+@query(f"WITH RECURSIVE {DECIDED} SELECT file, block_id, own, decision, reason FROM decided")
+def tree_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every block is in the tree, or why it isn't in it."""
+    return decisions(spark, sf_dir).select("file", "block_id", "own", "decision", "reason")
+
+
 @query(f"WITH {BLOCKS} SELECT file, block_id, row_number() OVER (PARTITION BY file ORDER BY page NULLS LAST, page_order NULLS LAST, ordine, block_id) - 1 AS seq FROM blocks")
 def load_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks in reading order."""
@@ -119,7 +190,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "classificazione_blocchi")
 
 
-STOPS = {c: p.stopwords for c, p in P.PROFILES.items()}
+STOPS = {c: p.stopwords for c, p in P.PROFILES.items() if p.stopwords}
 
 
 def _stops_sql(code: str) -> str:
@@ -164,10 +235,6 @@ def foreign_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("block_id", F.round(ratio, 4).alias("ratio"), ((F.size("t") >= 6) & (ratio >= 0.03)).alias("foreign_block"))
 
 
-def _either_sql(attribute: str, text: str) -> str:
-    return P.by_profile_sql("profile", lambda p: f"regexp_matches({text}, {X.lit_sql('(?i)' + getattr(p, attribute))})")
-
-
 @query(f"""WITH {LABELLED}, w AS (SELECT *, {X.count_words_sql('norm')} AS words, lower(coalesce(block_type, '')) AS t, lower(coalesce(document_zone, '')) AS z, regexp_matches(norm, '^[(][0-9]+[)] +') AS numbered, {_either_sql('citation', 'norm')} AS cites FROM labelled)
 SELECT block_id, t LIKE '%footnote%' OR z IN ('footnote', 'footnotes', 'notes', 'headers_footers') OR (numbered AND cites AND words <= 90) AS footnote FROM w""")
 def footnotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,41 +258,41 @@ def repeated_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.heading_flags(_prepared(spark, sf_dir)).select("block_id", "running_header", "contents_page", "bodiless", "suppressed", "downgraded")
 
 
-@query(f"WITH {NODES} SELECT file, block_id, seq, level, parent_seq FROM nodes")
+@query(f"WITH RECURSIVE {TREE} SELECT file, block_id, seq, level, parent_seq, rubric FROM nodes")
 def parent_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parent of each structural block."""
-    return S.parents(_prepared(spark, sf_dir)).select("file", "block_id", "seq", "level", "parent_seq")
+    """The parent and rubric of each node."""
+    return TR.tree(decisions(spark, sf_dir))[0].select("file", "block_id", "seq", "level", "parent_seq", "rubric")
 
 
-@query(f"WITH {OWNED} SELECT file, block_id, seq, owner_seq FROM owned WHERE {LEVEL} IS NULL AND label NOT IN ('recital', 'noise')")
+@query(f"WITH RECURSIVE {TREE} SELECT file, block_id, seq, owner_seq FROM owned")
 def content_owner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The structural block that each content block belongs to."""
-    return S.owners(_prepared(spark, sf_dir)).select("file", "block_id", "seq", "owner_seq")
+    """The node that each content belongs to."""
+    return TR.tree(decisions(spark, sf_dir))[1].select("file", "block_id", "seq", "owner_seq")
 
 
-@query(f"WITH RECURSIVE {NODES}, paths AS (SELECT file, seq, norm AS path FROM nodes WHERE parent_seq IS NULL UNION ALL SELECT n.file, n.seq, p.path || ' > ' || n.norm FROM nodes n JOIN paths p ON p.file = n.file AND p.seq = n.parent_seq) SELECT file, seq, path FROM paths")
+@query(f"WITH RECURSIVE {TREE}, paths AS (SELECT file, seq, norm AS path FROM nodes WHERE parent_seq IS NULL UNION ALL SELECT n.file, n.seq, p.path || ' > ' || n.norm FROM nodes n JOIN paths p ON p.file = n.file AND p.seq = n.parent_seq) SELECT file, seq, path FROM paths")
 def node_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The headings from the root to each structural block."""
-    return S.node_paths(S.parents(_prepared(spark, sf_dir))).select("file", "seq", F.array_join("path", " > ").alias("path"))
+    return S.node_paths(TR.tree(decisions(spark, sf_dir))[0]).select("file", "seq", F.array_join("path", " > ").alias("path"))
 
 
-@query(f"WITH RECURSIVE {NODES}, depths AS (SELECT file, seq, 1 AS depth FROM nodes WHERE parent_seq IS NULL UNION ALL SELECT n.file, n.seq, p.depth + 1 FROM nodes n JOIN depths p ON p.file = n.file AND p.seq = n.parent_seq), c AS (SELECT file, count(*) AS contents FROM leveled WHERE level IS NULL AND label NOT IN ('recital', 'noise') GROUP BY file) SELECT f.file, count(d.seq) AS nodes, coalesce(any_value(c.contents), 0) AS contents, coalesce(max(d.depth), 0)::INT AS max_depth FROM (SELECT DISTINCT file FROM leveled) f LEFT JOIN depths d USING (file) LEFT JOIN c USING (file) GROUP BY f.file")
+@query(f"WITH RECURSIVE {TREE}, depths AS (SELECT file, seq, 1 AS depth FROM nodes WHERE parent_seq IS NULL UNION ALL SELECT n.file, n.seq, p.depth + 1 FROM nodes n JOIN depths p ON p.file = n.file AND p.seq = n.parent_seq), c AS (SELECT file, count(*) AS contents FROM owned GROUP BY file) SELECT f.file, count(d.seq) AS nodes, coalesce(any_value(c.contents), 0) AS contents, coalesce(max(d.depth), 0)::INT AS max_depth FROM (SELECT DISTINCT file FROM decided) f LEFT JOIN depths d USING (file) LEFT JOIN c USING (file) GROUP BY f.file")
 def tree_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes, contents and depth of each file's tree."""
-    rows = _prepared(spark, sf_dir)
-    paths = S.node_paths(S.parents(rows)).groupBy("file").agg(F.count(F.lit(1)).alias("nodes"), F.max(F.size("path")).alias("max_depth"))
-    contents = rows.where(~F.col("label").isin(*S.CONTAINERS, "recital", "noise")).groupBy("file").agg(F.count(F.lit(1)).alias("contents"))
+    rows = decisions(spark, sf_dir)
+    nodes, owned = TR.tree(rows)
+    paths = S.node_paths(nodes).groupBy("file").agg(F.count(F.lit(1)).alias("nodes"), F.max(F.size("path")).alias("max_depth"))
+    contents = owned.groupBy("file").agg(F.count(F.lit(1)).alias("contents"))
     files = rows.select("file").distinct()
     return files.join(paths, "file", "left").join(contents, "file", "left").select("file", F.coalesce("nodes", F.lit(0)).alias("nodes"), F.coalesce("contents", F.lit(0)).alias("contents"), F.coalesce("max_depth", F.lit(0)).alias("max_depth"))
 
 
-@query(f"WITH {OWNED} SELECT o.file, n.label, n.number, n.seq, sum({X.count_words_sql('o.testo')})::BIGINT AS words FROM owned o JOIN ordered n ON n.file = o.file AND n.seq = o.owner_seq WHERE {LEVEL.replace('CASE label', 'CASE o.label')} IS NULL AND o.label NOT IN ('recital', 'noise') GROUP BY ALL")
+@query(f"WITH RECURSIVE {TREE} SELECT o.file, n.label, n.number, n.seq, sum({X.count_words_sql('o.testo')})::BIGINT AS words FROM owned o JOIN nodes n ON n.file = o.file AND n.seq = o.owner_seq GROUP BY ALL")
 def words_per_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the contents under each heading."""
-    rows = _prepared(spark, sf_dir)
-    heads = rows.where(F.col("label").isin(*S.CONTAINERS)).select("file", F.col("seq").alias("owner_seq"), F.col("label").alias("head"), F.col("number").alias("head_number"))
-    owned = S.owners(rows).groupBy("file", "owner_seq").agg(F.sum(X.count_words(F.col("testo"))).alias("words"))
-    return owned.join(heads, ["file", "owner_seq"]).select("file", F.col("head").alias("label"), F.col("head_number").alias("number"), F.col("owner_seq").alias("seq"), "words")
+    """Words of the contents under each node."""
+    nodes, contents = TR.tree(decisions(spark, sf_dir))
+    owned = contents.groupBy("file", F.col("owner_seq").alias("seq")).agg(F.sum(X.count_words(F.col("testo"))).alias("words"))
+    return owned.join(nodes.select("file", "seq", "label", "number"), ["file", "seq"]).select("file", "label", "number", "seq", "words")
 
 
 @query(f"WITH {LABELLED} SELECT file, label, count(*) AS blocks, count(DISTINCT page) AS pages FROM (SELECT *, coalesce(sure, 'content') AS label FROM labelled) GROUP BY ALL")
