@@ -258,16 +258,16 @@ def repair_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STEPS_SQL = "[" + ", ".join(f"'{s}'" for s in M.STEPS) + "]"
 
 
-@query(f"""WITH inputs AS (SELECT file, schema_version::VARCHAR AS signature, coalesce(code, '') AS profile FROM language_config), steps AS (SELECT *, unnest(generate_series(0, 4)) AS n FROM inputs), named AS (SELECT *, {_STEPS_SQL}[n + 1] AS step FROM steps),
-done AS (SELECT i.file, n.step, i.signature, CASE WHEN i.profile = lower(i.profile) THEN i.profile ELSE '' END AS profile FROM inputs i JOIN named n USING (file) WHERE length(i.file) % 6 > n.n),
-f AS (SELECT s.*, d.file IS NOT NULL AND (s.step = 'language' OR d.profile = s.profile) AS finished FROM named s LEFT JOIN done d ON d.file = s.file AND d.step = s.step AND d.signature = s.signature),
+@query(f"""WITH sigs AS (SELECT file, bit_xor(('0x' || substr(md5(block_id || ':' || coalesce(testo, '')), 1, 15))::BIGINT) AS signature FROM (SELECT DISTINCT file, block_id, testo FROM ocr_blocks) GROUP BY file), inputs AS (SELECT s.file, s.signature, coalesce(l.code, '') AS profile FROM sigs s LEFT JOIN language_config l ON l.file = s.file), states AS (SELECT file, count(*) FILTER (review_status = 'pending_llm_review') AS waiting FROM classificazione_blocchi GROUP BY file),
+done AS (SELECT file, 'language' AS step FROM inputs WHERE profile <> '' UNION ALL SELECT i.file, unnest(['analysis', 'classification']) FROM inputs i JOIN states USING (file) UNION ALL SELECT i.file, 'review' FROM inputs i JOIN states USING (file) WHERE waiting = 0 UNION ALL SELECT file, 'tree' FROM inputs WHERE file IN (SELECT file FROM struttura_ad_albero)),
+steps AS (SELECT *, unnest(generate_series(0, 4)) AS n FROM inputs), named AS (SELECT *, {_STEPS_SQL}[n + 1] AS step FROM steps), f AS (SELECT s.file, s.step, s.n, d.file IS NOT NULL AS finished FROM named s LEFT JOIN (SELECT DISTINCT * FROM done) d ON d.file = s.file AND d.step = s.step),
 m AS (SELECT *, min(CASE WHEN NOT finished AND step <> 'language' THEN n END) OVER (PARTITION BY file) AS first FROM f)
 SELECT file, step FROM m WHERE NOT finished OR (step <> 'language' AND n >= coalesce(first, 99))""")
 def pending_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Steps that each file still needs, given a table of what is done."""
-    inputs = read_table(spark, sf_dir, "language_config").select("file", F.col("schema_version").cast("string").alias("signature"), F.coalesce("code", F.lit("")).alias("profile"))
-    steps = inputs.select("file", "signature", "profile", F.posexplode(F.array(*map(F.lit, M.STEPS))).alias("n", "step"))
-    done = steps.where(F.length("file") % 6 > F.col("n")).select("file", "step", "signature", F.when(F.col("profile") == F.lower("profile"), F.col("profile")).otherwise("").alias("profile"))
+    """Steps that each file still needs, by what the tables at hand prove as done."""
+    labels = read_table(spark, sf_dir, "language_config").select("file", "code")
+    inputs = M.content_signatures(read_table(spark, sf_dir, "ocr_blocks")).join(labels, "file", "left").select("file", F.col("signature").cast("string").alias("signature"), F.coalesce("code", F.lit("")).alias("profile"))
+    done = M.finished_steps(inputs, read_table(spark, sf_dir, "classificazione_blocchi"), read_table(spark, sf_dir, "struttura_ad_albero"))
     return M.pending_steps(inputs, done)
 
 

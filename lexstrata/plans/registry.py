@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lexstrata.functions.runtime import read_spread
 from lexstrata.operators.flatten import flatten_trees, merged_members, tree_contents, tree_nodes
-from lexstrata.plans import records, structure  # noqa: F401 - records adds its queries to those of structure
+from lexstrata.plans import analysis, records, structure  # noqa: F401 - all add their queries to those of structure
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
