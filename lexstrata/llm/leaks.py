@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,8 @@ WORD = re.compile(r"[^\W_]+")
 STRETCH, SAMPLED = 3, 6
 #: Distinct word classes the random walk tells apart.
 CLASSES = 1 << 10
+#: Candidate pairs that are verified at a time.
+VERIFIED = 50_000
 #: Where a larger number of keys would be needed, the search is refused instead of finding less.
 MOST_KEYS = 5000
 
@@ -100,17 +101,19 @@ def repetitions_for(size: int, max_edits: int, recall: float, seed: int = 17) ->
     raise ValueError(f"{max_edits} edits in {size} words: recall {recall} is not reached with {MOST_KEYS} keys")
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Least word edit distance of ``a`` to any run of consecutive words of ``b``, or ``most`` + 1 where it is larger."""
-    a, b = a.tolist(), b.tolist()
-    row = [0] * (len(b) + 1)  # the run may start anywhere
-    for i, x in enumerate(a, 1):
-        left, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
-        if min(row) > most:
-            return most + 1
-    return min(row)  # and end anywhere
+def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each pair of rows, the least word edit distance of ``a`` to any run of consecutive words of ``b``.
+
+    The edit table is filled for all pairs at once, one word of ``a`` at a time; words of ``b`` that are not there are -1.
+    """
+    places = np.arange(b.shape[1] + 1, dtype=np.int16)
+    row = np.zeros((len(a), b.shape[1] + 1), dtype=np.int16)  # the run may start anywhere
+    for i in range(a.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (a[:, i : i + 1] != b), row[:, 1:] + 1, out=new[:, 1:])
+        row = np.minimum.accumulate(new - places, axis=1) + places  # a step to the right costs one
+    return row.min(axis=1)  # and end anywhere
 
 
 def least_run(size: int, max_edits: int) -> int:
@@ -148,14 +151,12 @@ class ItemIndex:
         self.runs = np.unique(run_hashes(self.ids, self.run)[inside]) if owners else np.zeros(0, dtype=np.uint64)
         self.hash = WalkKeys(size, repetitions)
         self.known: list[list[np.ndarray]] = []
-        self.table: list[dict[int, list[int]]] = []
+        self.table: list[tuple[np.ndarray, np.ndarray]] = []
         for rep in range(len(self.hash.walk)):
             key, steps, _ = self.hash.keys(self.ids, self.starts, rep)
             self.known.append([np.unique(s) for s in steps])
-            table: dict[int, list[int]] = defaultdict(list)
-            for n, k in enumerate(key.tolist()):
-                table[k].append(n)
-            self.table.append(dict(table))
+            order = np.argsort(key, kind="stable")
+            self.table.append((key[order], order))
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int]]:
         """(row, item, least word edits) of every leaked item."""
@@ -180,24 +181,35 @@ class ItemIndex:
         hashes = run_hashes(ids, self.run)
         kept = np.concatenate([[0], np.cumsum(self.runs[np.minimum(np.searchsorted(self.runs, hashes), len(self.runs) - 1)] == hashes)])
         starts = starts[kept[starts + size - self.run + 1] > kept[starts]]
-        best: dict[tuple[int, int], int] = {}
+        found = [np.zeros(0, dtype=np.int64)]  # document window and item window, as one number
         for rep in range(len(self.hash.walk)):
             key, _, left = self.hash.keys(ids, starts, rep, self.known[rep])
-            for k, s in zip(key.tolist(), left.tolist()):
-                for n in self.table[rep].get(k, ()):
-                    pair = (int(owner[s]), self.owners[n])
-                    if best.get(pair, self.max_edits + 1) == 0:
-                        continue
-                    own = self.ids[self.starts[n] : self.starts[n] + size]
-                    if np.array_equal(ids[s : s + size], own):
-                        best[pair] = 0
-                        continue
-                    if not self.max_edits:
-                        continue
-                    around = ids[max(firsts[owner[s]], s - self.max_edits) : min(ends[owner[s]], s + size + self.max_edits)]
-                    d = edit_distance(own, around, self.max_edits)
-                    if d < best.get(pair, self.max_edits + 1):
-                        best[pair] = d
+            keys, order = self.table[rep]
+            low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            n = high - low
+            at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            found.append(np.repeat(left, n) * len(self.owners) + order[at])
+        pairs = np.unique(np.concatenate(found))
+        owners = np.array(self.owners)
+        best: dict[tuple[int, int], int] = {}
+        for at in range(0, len(pairs), VERIFIED):
+            s, n = np.divmod(pairs[at : at + VERIFIED], len(self.owners))
+            a = self.ids[self.starts[n][:, None] + np.arange(size)[None, :]]
+            exact = (a == ids[s[:, None] + np.arange(size)[None, :]]).all(axis=1)
+            distance = np.where(exact, 0, self.max_edits + 1)
+            if self.max_edits and not exact.all():
+                rest = np.flatnonzero(~exact)
+                where = s[rest][:, None] + np.arange(-self.max_edits, size + self.max_edits)[None, :]
+                row = owner[s[rest]]
+                inside = (where >= firsts[row][:, None]) & (where < ends[row][:, None])
+                around = np.where(inside, ids[np.clip(where, 0, len(ids) - 1)], -1)
+                # words that no edit touches are in their place or moved by as many places as there are edits
+                same = sum((a[rest] == around[:, k : k + size]).sum(axis=1) for k in range(2 * self.max_edits + 1))
+                near = np.flatnonzero(same >= size - self.max_edits)
+                distance[rest[near]] = edit_distances(a[rest[near]], around[near])
+            for i in np.flatnonzero(distance <= self.max_edits).tolist():
+                pair = (int(owner[s[i]]), owners[n[i]].item())
+                best[pair] = min(best.get(pair, self.max_edits + 1), int(distance[i]))
         return [(row, item, d) for (row, item), d in best.items()]
 
 

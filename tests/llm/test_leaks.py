@@ -77,11 +77,12 @@ def test_added_and_removed_words_reach_recall(spark):
 def test_closest_run():
     import numpy as np
 
-    from lexstrata.llm.leaks import edit_distance
+    from lexstrata.llm.leaks import edit_distances
 
     a = np.arange(1, 9)
-    for b, d in (([0, *a, 0], 0), ([1, 2, 3, 4, 0, 5, 6, 7, 8], 1), ([0, 1, 2, 3, 5, 6, 7, 8, 0], 1), ([1, 2, 0, 4, 5, 6, 0, 8], 2), ([9] * 8, 2)):
-        assert edit_distance(a, np.array(b), 1) == d
+    cases = (([0, *a, 0], 0), ([1, 2, 3, 4, 0, 5, 6, 7, 8], 1), ([0, 1, 2, 3, 5, 6, 7, 8, 0], 1), ([1, 2, 0, 4, 5, 6, 0, 8], 2), ([9] * 8, 8))
+    b = np.array([[*x, *[-1] * (10 - len(x))] for x, _ in cases])
+    assert edit_distances(np.tile(a, (len(cases), 1)), b).tolist() == [d for _, d in cases]
 
 
 def test_runs_drop_no_window_within_the_edits():
