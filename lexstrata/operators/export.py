@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -64,50 +63,6 @@ def element_ids(nodes: DataFrame, depth: int = 5) -> DataFrame:
     return done.drop("_local")
 
 
-def akn_xml(rows: DataFrame) -> DataFrame:
-    """file, xml and elements of each document.
-
-    ``rows``: file, uri, language, seq, level (null for contents), label, number, rubric, eid, testo. Nodes nest by level;
-    paragraphs and points below an article are elements of their own, other contents are paragraphs of text. A document's
-    rows are one group: a document is the unit of the sink.
-    """
-
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("seq")
-        head = group.iloc[0]
-        out, stack, count = [], [], 0
-        out.append(f'<akomaNtoso xmlns="{NAMESPACE}"><act name="act"><meta><identification source="#engine"><FRBRWork><FRBRthis value={quoteattr(str(head.uri) + "/!main")}/><FRBRuri value={quoteattr(str(head.uri))}/></FRBRWork><FRBRExpression><FRBRlanguage language={quoteattr(str(head.language))}/></FRBRExpression></identification></meta><body>')
-        numbered: dict[str, int] = {}
-        used: set[str] = set()
-        for r in group.itertuples():
-            if r.level == r.level and r.level is not None:
-                while stack and stack[-1][0] >= r.level:
-                    out.append(f"</{stack.pop()[1]}>")
-                name = r.label if r.label in ("part", "title", "chapter", "section", "article") else "hcontainer"
-                out.append(f"<{name} eId={quoteattr(r.eid)}>" + (f"<num>{escape(r.number)}</num>" if r.number else "") + (f"<heading>{escape(r.rubric)}</heading>" if r.rubric else ""))
-                stack.append((r.level, name, r.eid))
-                count += 1
-                continue
-            inside = stack[-1][2] if stack else ""
-            name = r.label if r.label in ("paragraph", "point") else "hcontainer"
-            prefix = (inside + "__" if inside else "") + PREFIX.get(name, name)
-            numbered[prefix] = numbered.get(prefix, 0) + 1
-            eid = f"{prefix}_{numbered[prefix]}"
-            while eid in used:
-                numbered[prefix] += 1
-                eid = f"{prefix}_{numbered[prefix]}"
-            used.add(eid)
-            out.append(f"<{name} eId={quoteattr(eid)}><content><p>{escape(''.join(c for c in r.testo or '' if c >= ' ' or c in chr(9) + chr(10)))}</p></content></{name}>")
-            count += 1
-        out += [f"</{name}>" for _, name, _ in reversed(stack)]
-        if not count:
-            out.append('<hcontainer eId="hcontainer_1" name="content"><content><p/></content></hcontainer>')
-        out.append("</body></act></akomaNtoso>")
-        return pd.DataFrame({"file": [head.file], "xml": ["".join(out)], "elements": [count]})
-
-    return rows.groupBy("file").applyInPandas(build, "file string, xml string, elements bigint")
-
-
 def check_ids(elements: DataFrame) -> DataFrame:
     """Elements, ids and repeated ids of each file, and whether it is valid: no repeated id."""
     per = elements.groupBy("file", "eid").agg(F.count(F.lit(1)).alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lexstrata.functions import profiles as P
 from lexstrata.functions import text as X
 from lexstrata.functions.runtime import read_table, shared_dir
+from lexstrata.operators import akn as AK
 from lexstrata.operators import chunks as C
 from lexstrata.operators import export as E
 from lexstrata.operators import manifest as M
@@ -160,11 +161,10 @@ def akn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def akn_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The legislative XML of each file."""
     nodes, contents = TR.tree(decisions(spark, sf_dir))
-    ids = E.element_ids(nodes)
-    profile = F.when(F.col("profile") == "en", "en").otherwise("it")
+    columns = ("file", "profile", "seq", "label", "level", "number", "rubric", "norm", "parent_seq", "owner_seq")
+    every = nodes.withColumn("owner_seq", F.lit(None).cast("bigint")).select(*columns).unionByName(contents.withColumns({"level": F.lit(None).cast("int"), "parent_seq": F.lit(None).cast("bigint")}).select(*columns))
     uri = E.work_uri(F.lit(None).cast("string"), F.lit("act"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("file"))
-    every = ids.select("file", "profile", "seq", "level", "label", "number", "rubric", "eid", "testo").unionByName(contents.select("file", "profile", "seq", F.lit(None).cast("int").alias("level"), "label", F.lit(None).cast("string").alias("number"), F.lit(None).cast("string").alias("rubric"), F.lit(None).cast("string").alias("eid"), "testo"))
-    return E.akn_xml(every.select("file", uri.alias("uri"), E.language3(profile).alias("language"), "seq", "level", "label", "number", "rubric", "eid", "testo"))
+    return AK.documents(every.withColumns({"uri": uri, "language": E.language3(F.when(F.col("profile") == "en", "en").otherwise("it"))}))
 
 
 @query()

@@ -45,6 +45,28 @@ def blocks_of(documents: DataFrame) -> DataFrame:
     return rows.where(F.col("testo").isNotNull())
 
 
+def documents_at(spark: SparkSession, path: str, glob: str = "*.json") -> list[str]:
+    """Paths of the documents of a file or folder, sorted; an error that says where nothing was found.
+
+    Only names are listed, by Spark's own file listing, so any file system it knows will do.
+    """
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        raise FileNotFoundError(f"there is no {path}")
+    found = [path] if system.getFileStatus(place).isFile() else sorted(str(f.getPath().toString()) for f in system.globStatus(jvm.org.apache.hadoop.fs.Path(place, glob)) if f.isFile())
+    if not found:
+        raise FileNotFoundError(f"{path} has no documents {glob}")
+    return found
+
+
+def invalid_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """file and bytes of the documents that aren't JSON, empty ones included; ``read_documents`` leaves them out."""
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"), "value")
+    return raw.where(F.try_parse_json("value").isNull()).select("file", "bytes")
+
+
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Blocks of the JSON documents in a file or directory; both document shapes are read, invalid files give no rows."""
     raw = spark.read.text(path, wholetext=True, pathGlobFilter=glob).select(F.col("_metadata.file_name").alias("file"), "value")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexstrata.functions import profiles as P
 from lexstrata.functions.text import matching_text
+from lexstrata.operators import akn as AK
 from lexstrata.operators import chunks as C
 from lexstrata.operators import export as E
 from lexstrata.operators import records as R
@@ -172,12 +173,12 @@ def test_ids_and_xml(spark):
     df = spark.createDataFrame(rows, "file string, seq bigint, level int, label string, number string, rubric string, testo string").withColumn("parent_seq", F.expr("case when seq in (1, 3) then 0L end"))
     ids = {r.seq: r.eid for r in E.element_ids(df.where("level is not null")).collect()}
     assert ids == {0: "chp_IV", 1: "chp_IV__art_1", 3: "chp_IV__art_1_2"}
-    full = df.withColumn("eid", F.element_at(F.create_map(*[F.lit(x) for kv in ids.items() for x in kv]), F.col("seq").cast("int"))).withColumn("uri", F.lit("/akn/it/act/1970-01-01/f")).withColumn("language", F.lit("ita"))
-    xml = E.akn_xml(full).first().xml
+    rows = [{"seq": r[1], "level": r[2], "label": r[3], "number": r[4], "rubric": r[5], "norm": r[6] or "", "parent_seq": 0 if r[1] in (1, 3) else None, "owner_seq": {2: 1, 4: 3}.get(r[1])} for r in rows]
+    xml = AK.to_xml(AK.build(rows, "/akn/it/act/1970-01-01/f", "ita", "it"), "/akn/it/act/1970-01-01/f", "ita")
     from xml.dom.minidom import parseString
 
     found = [e.getAttribute("eId") for e in parseString(xml).getElementsByTagName("*") if e.getAttribute("eId")]
-    assert len(found) == len(set(found)) == 5 and "a &lt; b" in xml
+    assert found == ["chp_IV", "chp_IV__art_1", "chp_IV__art_1__para_1", "chp_IV__art_1_2"] and "a &lt; b" in xml
 
 
 @pytest.mark.parametrize("text,parses", [(r'{"a": "\alpha"}', True), ('{"a": "x\\ny"}', True), ('{"a": "\\\\usepackage"}', True), (r'{"a": ["\\\usepackage"]}', True), ('{"a": ', False), (None, False)])
@@ -237,3 +238,32 @@ def test_chunks_of_long_nodes(spark, monkeypatch):
     monkeypatch.setattr(C, "SPAN", 7)
     ranges = [rng.choice(((1, 60), (0, 220), (0, 3), (0, 1), (200, 220))) for _ in range(60)]
     check({1_000 * i: [rng.randint(*r) for _ in range(rng.randint(1, 80))] for i, r in enumerate(ranges)})
+
+
+def test_profiles_are_checked(tmp_path):
+    import json
+
+    good = P.PROFILES["it"].spec
+    assert P.problems(good) == [] and P.problems({**good, "code": "Italiano!"}) and P.problems({k: v for k, v in good.items() if k != "acts"}) == ["acts is missing"]
+    (tmp_path / "x.json").write_text(json.dumps({**good, "code": "xx"}))
+    assert P.read_profile(tmp_path / "x.json").code == "xx"
+    for text in (None, "{", json.dumps({**good, "divisions": {"chapterr": {"words": []}}})):
+        if text is not None:
+            (tmp_path / "y.json").write_text(text)
+        with pytest.raises(P.ProfileError):
+            P.read_profile(tmp_path / ("none.json" if text is None else "y.json"))
+    assert P.digest(good) == P.digest(dict(reversed(good.items()))) == P.digest({**good, "_note": 1, "source": "x"}) != P.digest({**good, "code": "xx"})
+    assert P.PROFILES["en"].convention("rubric") == "before" and P.PROFILES["it"].convention("foreign") is None
+
+
+def test_suffix_aliases():
+    assert P.suffix_aliases({"II": "Bis"}) == P.suffix_aliases([["ii", "bis"]]) == P.suffix_aliases([{"from": "II", "to": "bis"}]) == P.suffix_aliases(["ii -> bis", "junk", 5, ["a"]]) == {"ii": "bis"} and P.suffix_aliases(None) == {}
+
+
+def test_paper_headings(spark):
+    got = label(spark, "paper", ["Abstract", "3 Method", "3.1 Data sets", "3.1.2 Noise", "3 of them, and so on", "prose"])
+    assert [g[0] for g in got] == ["chapter", "chapter", "section", "article", None, None] and got[2][1] == "3.1"
+
+
+def test_numbers_with_two_suffixes_and_aliases(spark):
+    assert label(spark, "it", ["Art. 5 bis ter", "Art. 5-bis"]) == [("article", "5-bister"), ("article", "5-bis")]
