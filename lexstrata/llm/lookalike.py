@@ -120,6 +120,7 @@ class Transducer:
         # texts without any of these are in the one form already
         folds = [c for c in map(chr, range(0x80, 0x10000)) if not 0xD800 <= ord(c) < 0xE000 and (unicodedata.normalize("NFC", c) != c or unicodedata.normalize("NFD", c)[0] in self.rules)]
         self.touched = frozenset([*self.rules, *marks, *folds])
+        self.touching = re.compile(f"[{_class(sorted(self.touched))}]").search
 
     def cluster(self, text: str) -> str:
         """The form of one cluster: single rules, then composition of its accents."""
@@ -133,7 +134,7 @@ class Transducer:
         return mapped
 
     def apply(self, text: str) -> str:
-        if text.isascii() or self.touched.isdisjoint(text):
+        if text.isascii() or not self.touching(text):
             return text
         memo = self.memo
 

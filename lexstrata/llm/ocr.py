@@ -290,11 +290,26 @@ class Suspects:
     def __init__(self, bits: bytes):
         self.bits = bits
         self.memo: dict[str, str | None] = {}
+        self.clean: set[str] = set()  # tokens known to be neither
 
     def held(self, word: str) -> bool:
         at = zlib.crc32(word.encode("utf-8", "surrogatepass")) % FILTER_BITS
         return bool(self.bits[at >> 3] >> (at & 7) & 1)
 
+    def among(self, tokens: set[str]) -> tuple[list[str], bool]:
+        """The words that stand for the tokens in the corrections, as far as the filter holds them, and whether a token is a misread number."""
+        words, numbers = set(), False
+        for token in tokens - self.clean:
+            word, number = self(token), bool(NUMERAL.fullmatch(token))
+            numbers |= number
+            if word:
+                words.add(word)
+            elif not number:
+                if len(self.clean) > 200_000:
+                    self.clean.clear()
+                self.clean.add(token)
+        return sorted(words), numbers
+
     def __call__(self, token: str) -> str | None:
         """The word that stands for a token in the corrections, if the filter may hold it."""
         try:
@@ -326,14 +341,11 @@ FOLD_LATIN, FOLD_OTHER, DROPPED = _fold_tables()
 def fold(text: str) -> bytes:
     """A form in which misread variants of one line fall together, without white space and punctuation."""
     low = text.lower()
-    try:
-        out = low.encode("latin-1").translate(FOLD_LATIN, DROPPED)
-    except UnicodeEncodeError:
-        low = re.sub(r"[^\w@!+|]+", "", low)
-        try:
-            out = low.encode("latin-1").translate(FOLD_LATIN, DROPPED)
-        except UnicodeEncodeError:
-            out = low.encode("utf-8", "surrogatepass").translate(FOLD_OTHER, DROPPED)
+    out = low.encode("latin-1", "ignore")  # dashes and quotes go
+    if 5 * len(out) >= 4 * len(low):
+        out = out.translate(FOLD_LATIN, DROPPED)
+    else:  # another script
+        out = re.sub(r"[^\w@!+|]+", "", low).encode("utf-8", "surrogatepass").translate(FOLD_OTHER, DROPPED)
     for a, b in ((b"rn", b"m"), (b"ri", b"n"), (b"ti", b"n"), (b"ci", b"d"), (b"ii", b"v"), (b"vv", b"w")):
         out = out.replace(a, b)
     return out
@@ -409,8 +421,7 @@ def features(blocks: DataFrame, bits: bytes) -> DataFrame:
                 pairs.append(f"{m[1]}-{m[3]}".lower())
         whole = joined_lines(text)
         found = set(TOKEN.findall(normal if whole == text else form(whole)))
-        suspects = sorted({w for t in found if (w := suspect(t))})
-        misread = bool(NUMERAL_INSIDE.search(flat)) and any(map(NUMERAL.fullmatch, found))
+        suspects, misread = suspect.among(found)
         first = PLAIN.match(flat)
         return (*(number or (None, None)), *(key or (None, None)), opens, end[1] if end else None, end[2] if end else None, first and first[0], starts, cell, heading, soft, pairs, misread, suspects)
 
