@@ -124,9 +124,10 @@ def accepted_recitals(numbers: Column, step: int = RECITAL_STEP) -> Column:
 
     A fold over the list; a number that doesn't continue is left out and changes nothing.
     """
-    start = F.struct(F.lit(None).cast("int").alias("last"), F.array().cast("array<int>").alias("kept"))
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
 
     def follow(acc: Column, n: Column) -> Column:
+        n = n.cast("bigint")
         fits = F.when(acc["last"].isNull(), n == 1).otherwise((n >= acc["last"]) & (n <= acc["last"] + step))
         return F.when(fits, F.struct(n.alias("last"), F.concat(acc["kept"], F.array(n)).alias("kept"))).otherwise(acc)
 

@@ -89,7 +89,7 @@ def review_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _incipit_sql() -> str:
-    joined = "(coalesce(title, '') || ' ' || left(coalesce(text, ''), 1200))"
+    joined = "(coalesce(title, '') || ' ' || coalesce(text, ''))"
     return f"left({X.matching_text_sql(joined)}, {E.INCIPIT})"
 
 
@@ -108,7 +108,7 @@ ACTS = f"incipits AS (SELECT *, CASE WHEN lang = 'en' THEN 'en' ELSE 'it' END AS
 
 def _acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").drop("subtype")
-    joined = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.left(F.coalesce("text", F.lit("")), F.lit(1200)))
+    joined = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("text", F.lit("")))
     rows = docs.withColumn("incipit", F.left(X.matching_text(joined), F.lit(E.INCIPIT))).withColumn("profile", F.when(F.col("lang") == "en", "en").otherwise("it"))
     return rows.withColumn("act", X.bind(F.col("incipit"), lambda t: E.act_type(t, F.col("profile")))).select("*", "act.subtype", "act.country", "act.number")
 
@@ -178,8 +178,8 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def recital_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The recital numbers of each file, and those that continue their sequence."""
-    rows = S.prepared(delivered_blocks(spark, sf_dir)).where("structural = 'recital' and number rlike '^[0-9]{1,6}$'")
-    numbers = rows.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("number").cast("int").alias("n")))).alias("x")).select("file", F.col("x.n").alias("numbers"))
+    rows = S.prepared(delivered_blocks(spark, sf_dir)).where("structural = 'recital' and try_cast(number as bigint) is not null")
+    numbers = rows.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("seq", F.col("number").cast("bigint").alias("n")))).alias("x")).select("file", F.col("x.n").alias("numbers"))
     return numbers.select("file", "numbers", C.accepted_recitals(F.col("numbers")).alias("accepted"))
 
 
