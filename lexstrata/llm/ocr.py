@@ -34,7 +34,7 @@ from lexstrata.functions.runtime import written
 from lexstrata.llm.lookalike import transducer
 
 #: Confusions of recognition (fixed values): printed, as read.
-CONFUSIONS = "a@ o0 O0 i! i1 I1 l1 l| i| I| t+ s5 S5 g9 g6 G6 q9 b6 B8 z2 Z2 A4 T7 ec ce m~rn rn~m n~ri h~li li~h d~cl cl~d u~ii ti~n oO lI il li w~vv vv~w v~u u~v vy yv aà eè eé iì oò uù"
+CONFUSIONS = "a@ o0 O0 i! i1 I1 l1 l| i| I| t+ s5 S5 g9 g6 G6 q9 b6 B8 z2 Z2 A4 T7 ec ce m~rn rn~m n~ri h~li li~h d~cl cl~d u~ii ti~n oO lI il li w~vv vv~w v~u u~v vy yv aà eè iì oò uù"
 #: Marks that stand for a letter inside a word.
 SYMBOLS = "@!+|0123456789$"
 #: A correction is RATIO times as frequent as the word, more for words of up to three letters, which are nearer to each
@@ -318,7 +318,8 @@ class Suspects:
             word = token.lower() if token.isalpha() and token in (token.lower(), token.capitalize(), token.upper()) else token
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            found = self.memo[token] = word if len(word) > 1 and self.held(word) else None
+            code = len(token) < 4 and token.isupper()  # an abbreviation, not a word
+            found = self.memo[token] = word if len(word) > 1 and not code and self.held(word) else None
             return found
 
 

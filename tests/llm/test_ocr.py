@@ -146,6 +146,6 @@ def test_neighbours_rank_candidates(spark):
 
 
 def test_short_words_are_corrected(spark):
-    rows = [(i, "f", i, 1, "il testo dell'atto del comune") for i in range(100)] + [(200, "f", 200, 1, "il testo dcl comune")]
+    rows = [(i, "f", i, 1, "il testo dell'atto del comune") for i in range(100)] + [(200, "f", 200, 1, "il testo dcl comune"), (201, "f", 201, 1, "il testo (444/DCL) del comune")]
     df = spark.createDataFrame(rows, "block_id bigint, file string, ordine int, page int, testo string").withColumn("page_order", F.col("ordine"))
     assert [(r.block_id, r.kind) for r in kinds(analysed(df)[0]).where("kind = 'misread'").collect()] == [(200, "misread")]
