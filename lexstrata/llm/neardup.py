@@ -50,7 +50,7 @@ def levels(hashes: np.ndarray) -> np.ndarray:
 
 
 def word_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "little")
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
 class Sketcher:
@@ -80,7 +80,7 @@ class Sketcher:
         if fresh:
             base = len(self.rows)
             self.rows.update((h, base + i) for i, h in enumerate(fresh))
-            self.table = np.concatenate([self.table[:base], *(levels(np.array(fresh[i : i + 2000])) for i in range(0, len(fresh), 2000))])
+            self.table = np.concatenate([self.table[:base], *(levels(np.array(fresh[i : i + 2000], dtype=np.uint64)) for i in range(0, len(fresh), 2000))])
         get = self.rows.__getitem__
         at = np.fromiter(map(get, flat.tolist()), dtype=np.int64, count=len(flat))
         starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
@@ -88,12 +88,12 @@ class Sketcher:
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
-    """32-bit key of each band of each sketch."""
+    """64-bit key of each band of each sketch; shorter ones would meet by chance in a large collection."""
     parts = registers.reshape(len(registers), BANDS, BAND).astype(np.uint64)
     key = np.zeros(parts.shape[:2], dtype=np.uint64)
     for i in range(BAND):
         key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, i] + np.uint64(i + 1))
-    return (key >> np.uint64(32)).astype(np.uint32)
+    return key
 
 
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def sketched(df: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
                     found = WORD.findall(text.lower())
                     if len(found) >= max(1, min_words):
                         rows.append(i)
-                        sets.append(np.unique(np.fromiter(map(own.hash_of, set(found)), dtype=np.uint32)))
+                        sets.append(np.unique(np.fromiter(map(own.hash_of, set(found)), dtype=np.uint64)))
                 if not rows:
                     continue
                 registers = own.sketch(sets)
@@ -154,7 +154,7 @@ def verified(pairs: DataFrame, threshold: float) -> DataFrame:
                 continue
             x, y, p, q = (batch.column(i).to_pylist() for i in range(2, 6))
             p, q = (np.frombuffer(b"".join(r), dtype=np.uint16).reshape(-1, CARRIED) for r in (p, q))
-            nx, ny = np.array([len(s) // 4 for s in x], dtype=float), np.array([len(s) // 4 for s in y], dtype=float)
+            nx, ny = np.array([len(s) // 8 for s in x], dtype=float), np.array([len(s) // 8 for s in y], dtype=float)
             # equal registers are binomial around the similarity or above: far fewer rule it out without the estimate
             near = np.flatnonzero((p == q).mean(axis=1) >= threshold - 1.25 * slack)
             rows, found = [], []
@@ -162,7 +162,7 @@ def verified(pairs: DataFrame, threshold: float) -> DataFrame:
                 part = near[at : at + 2000]
                 likely = estimate(p[part], q[part], nx[part], ny[part])
                 for i in part[likely >= threshold - slack].tolist():
-                    a, b = np.frombuffer(x[i], dtype=np.uint32), np.frombuffer(y[i], dtype=np.uint32)
+                    a, b = np.frombuffer(x[i], dtype=np.uint64), np.frombuffer(y[i], dtype=np.uint64)
                     common = len(np.intersect1d(a, b, assume_unique=True))
                     similarity = common / (len(a) + len(b) - common)
                     if similarity >= threshold:
@@ -184,7 +184,7 @@ def similar_classes(df: DataFrame, threshold: float = 0.8, min_words: int = 1, i
     """
     base = written(sketched(df, id_col, text_col, min_words), "sketches")
     members = base.select("id", "cls").distinct()
-    unpacked = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(F.hash(F.substring(F.col("bands"), 4 * i + 1, F.lit(4))).alias("key"), i.cast("byte").alias("band"))))
+    unpacked = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(F.xxhash64(F.substring(F.col("bands"), 8 * i + 1, F.lit(8))).alias("key"), i.cast("byte").alias("band"))))
     bands = base.groupBy("cls").agg(F.first("bands").alias("bands")).select("cls", unpacked.alias("x")).select("cls", F.col("x.key").alias("key"), F.col("x.band").alias("band"))
     left, right = bands.select(F.col("cls").alias("a"), "key", "band"), bands.select(F.col("cls").alias("b"), "key", "band")
     candidates = written(left.join(right, ["key", "band"]).where("a < b").select("a", "b").distinct(), "candidates")
