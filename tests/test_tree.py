@@ -62,7 +62,7 @@ def test_rubrics_before_and_foreign_texts_in_english(spark):
 
 
 def test_parts_inside_an_annex(spark):
-    got = {r.seq: (r.decision, r.reason) for r in decided(spark, [(1, "Parte I"), (1, "testo"), (2, "Allegato II"), (2, "Parte II"), (2, "testo"), (3, "Parte PRIMA Disposizioni generali comuni"), (3, "Parte II")]).collect()}
+    got = {r.seq: (r.decision, r.reason) for r in decided(spark, [(1, "Parte I"), (1, "testo"), (2, "Allegato II"), (2, "Parte II"), (2, "testo"), (3, "Parte PRIMA Disposizioni generali comuni"), (3, "Parte III")]).collect()}
     assert got[0][0] == "part" and got[3] == ("content", "part_of_annex") and got[5][0] == "part" and got[6][0] == "part"
 
 
